@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparktab.catalog.registry import query
-from sparktab.catalog.sqlparts import fold_sql, oof_te_sql
+from sparktab.sources.sqltwins import fold_sql, oof_te_sql
 from sparktab.functions.scalar import fold_of, r6
 from sparktab.operators import encoders as E
 from sparktab.operators.metrics import regression_metrics

@@ -3,6 +3,12 @@
 ``row_number().over(Window.orderBy(k))`` pulls every row into one task.  Here rows are range
 partitioned, numbered inside their partition, and shifted by the row counts of the earlier
 partitions (a table with one row per partition).
+
+Range partitioning samples its input to choose boundaries, and a shuffled input has no fixed
+order, so two evaluations may cut partitions differently.  The numbered rows are therefore
+materialised once with a reliable ``checkpoint`` (the shared folder of ``spark.checkpoint.dir``)
+before the counts and the numbering are read from them: both sides see the same partitions, and
+a lost executor re-reads the files instead of re-sampling.
 """
 
 from __future__ import annotations
@@ -10,24 +16,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparktab.operators.joins import attach
+from sparktab.session import ensure_checkpoint_dir
+
 
 def global_index(df: DataFrame, order_cols: list[str], index_col: str = "index",
                  group_cols: list[str] | None = None, n_parts: int | None = None) -> DataFrame:
     """Add ``index_col`` = 0-based position of each row in ``order_cols`` order.
 
     With ``group_cols`` the index restarts per group (a per-group rank over a total order).
-    ``order_cols`` must be unique within a group so the result is deterministic.
+    Rows tied on ``order_cols`` get distinct, arbitrary consecutive indices.
     """
     group_cols = list(group_cols or [])
     keys = group_cols + list(order_cols)
-    n = n_parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    n = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     s = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
            .withColumn("_pid", F.spark_partition_id())
-           .withColumn("_mid", F.monotonically_increasing_id()))
-    # one row per (group, partition): its size is partitions x groups spanning them
+           .withColumn("_mid", F.monotonically_increasing_id())
+           .checkpoint(eager=True))
+    # one row per (group, partition): groups + partitions rows at most
     base = s.groupBy(*group_cols, "_pid").agg(F.count(F.lit(1)).alias("_cnt"), F.min("_mid").alias("_min"))
     w = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     base = base.withColumn("_off", F.coalesce(F.sum("_cnt").over(w), F.lit(0))).drop("_cnt")
-    out = s.join(F.broadcast(base), on=group_cols + ["_pid"])
+    out = attach(s, base, group_cols + ["_pid"], how="inner")
     return (out.withColumn(index_col, (F.col("_off") + F.col("_mid") - F.col("_min")).cast("bigint"))
                .drop("_pid", "_mid", "_min", "_off"))

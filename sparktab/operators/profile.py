@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from sparktab.operators.joins import attach
 from sparktab.operators.ordering import global_index
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
@@ -77,26 +78,34 @@ def top_values(df: DataFrame, cols: list[str] | None = None, k: int = 5) -> Data
 
 
 def quantiles(df: DataFrame, cols: list[str], probs=(0.25, 0.5, 0.75), exact: bool = True) -> DataFrame:
-    """(column, prob, value): linear-interpolated quantiles of non-null values."""
+    """(column_name, prob, value): linear-interpolated quantiles of the non-null values of ``cols``."""
     long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v"))
-                                        for c in cols]))).where(F.col("v").isNotNull() & ~F.isnan("v"))
+                                        for c in cols])))
+    return grouped_quantiles(long, ["column_name"], "v", probs, exact)
+
+
+def grouped_quantiles(long: DataFrame, group_cols: list[str], value_col: str, probs=(0.5,),
+                      exact: bool = True) -> DataFrame:
+    """(group..., prob, value) quantiles per group of a long table (numpy/pandas 'linear' rule)."""
+    long = long.select(*group_cols, F.col(value_col).cast("double").alias("v")).where(
+        F.col("v").isNotNull() & ~F.isnan("v"))
     if not exact:
-        pa = long.groupBy("column_name").agg(F.percentile_approx("v", list(probs), 100000).alias("q"))
-        return pa.select("column_name", F.posexplode("q")).select(
-            "column_name", F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("pos") + 1).alias("prob"),
+        pa = long.groupBy(*group_cols).agg(F.percentile_approx("v", list(probs), 100000).alias("q"))
+        return pa.select(*group_cols, F.posexplode("q")).select(
+            *group_cols, F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("pos") + 1).alias("prob"),
             F.col("col").alias("value"))
-    n = long.groupBy("column_name").agg(F.count(F.lit(1)).alias("n"))
-    need = n.select("column_name", F.inline(F.array(*[
+    n = long.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("n"))
+    need = n.select(*group_cols, F.inline(F.array(*[
         F.struct(F.lit(float(p)).alias("prob"), ((F.col("n") - 1) * F.lit(float(p))).alias("h")) for p in probs])))
-    need = need.select("column_name", "prob", "h", F.explode(F.array_distinct(F.array(
+    need = need.select(*group_cols, "prob", "h", F.explode(F.array_distinct(F.array(
         F.floor("h").cast("bigint"), F.ceil("h").cast("bigint")))).alias("i"))
-    idx = global_index(long, ["v"], "i", group_cols=["column_name"])
-    picked = idx.join(F.broadcast(need), ["column_name", "i"])  # columns x probs x 2 rows
-    return picked.groupBy("column_name", "prob").agg(
+    idx = global_index(long, ["v"], "i", group_cols=group_cols)
+    picked = attach(idx, need, group_cols + ["i"], how="inner")  # groups x probs x 2 rows
+    return picked.groupBy(*group_cols, "prob").agg(
         F.max(F.when(F.col("i") == F.floor("h"), F.col("v"))).alias("lo"),
         F.max(F.when(F.col("i") == F.ceil("h"), F.col("v"))).alias("hi"),
         F.first("h").alias("h")).select(
-        "column_name", "prob", (F.col("lo") + (F.col("h") - F.floor("h")) * (F.col("hi") - F.col("lo"))).alias("value"))
+        *group_cols, "prob", (F.col("lo") + (F.col("h") - F.floor("h")) * (F.col("hi") - F.col("lo"))).alias("value"))
 
 
 def numeric_describe(df: DataFrame, cols: list[str] | None = None, exact: bool = True,
