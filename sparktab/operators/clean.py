@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from sparktab.functions.scalar import clip
+from sparktab.operators.ordering import running_last
 from sparktab.operators.profile import NUMERIC, quantiles
 
 PROTECTED = ("_id", "target")
@@ -125,42 +126,15 @@ def fill_expr(df: DataFrame, c: str, v) -> Column:
     return F.coalesce(x, F.lit(v).cast(df.schema[c].dataType))
 
 
-def ffill_bfill(df: DataFrame, cols: list[str], order_col: str, n_blocks: int | None = None) -> DataFrame:
-    """Forward fill then backward fill in ``order_col`` order, without a single-task window.
+def ffill_bfill(df: DataFrame, cols: list[str], order_col: str, group_cols=(), n_blocks: int | None = None) -> DataFrame:
+    """Forward fill then backward fill in ``order_col`` order (optionally per group).
 
-    Rows fall into ``n_blocks`` key-range blocks (a deterministic function of the key, so a
-    recomputed task lands rows in the same block).  Each block fills internally with running
-    windows (backward fill runs forward over the reversed order, so both frames stream), and the
-    last / first non-null value of every block is carried across blocks through a table with one
-    row per block.
+    Both passes are :func:`running_last` - blocked streaming windows plus a carried edge value per
+    block - so no single task ever holds the whole order.
     """
-    spark = df.sparkSession
-    n = n_blocks or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    k = F.col(order_col)
-    lo_hi = df.agg(F.min(order_col).alias("lo"), F.max(order_col).alias("hi")).first()
-    lo, hi = lo_hi["lo"], lo_hi["hi"]
-    if lo is None:
-        return df
-    width = max((float(hi) - float(lo)) / n, 1e-300)
-    s = df.withColumn("_blk", F.least(F.floor((k.cast("double") - F.lit(float(lo))) / F.lit(width)),
-                                      F.lit(n - 1)).cast("int"))
-    fw = Window.partitionBy("_blk").orderBy(k.asc()).rowsBetween(Window.unboundedPreceding, 0)
-    bw = Window.partitionBy("_blk").orderBy(k.desc()).rowsBetween(Window.unboundedPreceding, 0)
-    carry = s.groupBy("_blk").agg(
-        *[F.max_by(F.col(c), F.when(F.col(c).isNotNull(), k)).alias(f"_last_{c}") for c in cols],
-        *[F.min_by(F.col(c), F.when(F.col(c).isNotNull(), k)).alias(f"_first_{c}") for c in cols])
-    before = Window.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)  # one row per block
-    after = Window.orderBy(F.col("_blk").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    carry = carry.select("_blk",
-                         *[F.last(f"_last_{c}", True).over(before).alias(f"_prev_{c}") for c in cols],
-                         *[F.last(f"_first_{c}", True).over(after).alias(f"_next_{c}") for c in cols])
-    s = s.select("*", *[F.last(c, True).over(fw).alias(f"_f_{c}") for c in cols])
-    s = s.select("*", *[F.last(c, True).over(bw).alias(f"_b_{c}") for c in cols])
-    j = s.join(F.broadcast(carry), "_blk")  # n_blocks rows
-    filled = [F.coalesce(F.col(c), F.col(f"_f_{c}"), F.col(f"_prev_{c}"), F.col(f"_b_{c}"), F.col(f"_next_{c}")).alias(c)
-              for c in cols]
-    others = [c for c in df.columns if c not in cols]
-    return j.select(*others, *filled).select(*df.columns)
+    f = running_last(df, {f"_ff_{c}": F.col(c) for c in cols}, order_col, group_cols, True, False, n_blocks)
+    b = running_last(f, {f"_bf_{c}": F.col(c) for c in cols}, order_col, group_cols, True, True, n_blocks)
+    return b.withColumns({c: F.coalesce(F.col(f"_ff_{c}"), F.col(f"_bf_{c}")) for c in cols}).select(*df.columns)
 
 
 def iqr_bounds(df: DataFrame, cols: list[str], factor: float = 1.5) -> DataFrame:

@@ -43,3 +43,40 @@ def global_index(df: DataFrame, order_cols: list[str], index_col: str = "index",
     out = attach(s, base, group_cols + ["_pid"], how="inner")
     return (out.withColumn(index_col, (F.col("_off") + F.col("_mid") - F.col("_min")).cast("bigint"))
                .drop("_pid", "_mid", "_min", "_off"))
+
+
+def running_last(df: DataFrame, values: dict, order_col: str, group_cols=(), inclusive: bool = True,
+                 reverse: bool = False, n_blocks: int | None = None) -> DataFrame:
+    """Add, per name in ``values``, the last non-null value of that expression among the rows before
+    (``inclusive``: up to and including) each row of its group in ``order_col`` order.
+
+    ``reverse`` looks at the rows after instead (a backward fill).  ``order_col`` must be unique
+    within a group.  A group is cut into ``n_blocks`` key-range blocks - a deterministic function of
+    the key, so retried tasks rebuild the same blocks - which keeps a hot group from landing in one
+    task: each block runs a streaming window, and the edge value of every earlier block arrives
+    through a table with one row per (group, block).
+    """
+    group_cols = list(group_cols)
+    spark = df.sparkSession
+    n = n_blocks or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    k = F.col(order_col)
+    mm = df.agg(F.min(order_col).alias("lo"), F.max(order_col).alias("hi")).first()
+    if mm["lo"] is None:
+        return df.withColumns({name: F.lit(None) for name in values})
+    lo, hi = float(mm["lo"]), float(mm["hi"])
+    width = max((hi - lo) / n, 1e-300)
+    blk = F.least(F.floor((k.cast("double") - F.lit(lo)) / F.lit(width)), F.lit(n - 1)).cast("int")
+    s = df.withColumn("_blk", blk).withColumns({f"_v_{nm}": e for nm, e in values.items()})
+    ordk = k.desc() if reverse else k.asc()
+    w_in = Window.partitionBy(*group_cols, "_blk").orderBy(ordk).rowsBetween(
+        Window.unboundedPreceding, 0 if inclusive else -1)
+    s = s.select("*", *[F.last(f"_v_{nm}", True).over(w_in).alias(f"_in_{nm}") for nm in values])
+    edge = F.min_by if reverse else F.max_by
+    carry = s.groupBy(*group_cols, "_blk").agg(
+        *[edge(F.col(f"_v_{nm}"), F.when(F.col(f"_v_{nm}").isNotNull(), k)).alias(f"_e_{nm}") for nm in values])
+    bord = F.col("_blk").desc() if reverse else F.col("_blk").asc()
+    wb = Window.partitionBy(*group_cols).orderBy(bord).rowsBetween(Window.unboundedPreceding, -1)
+    carry = carry.select(*group_cols, "_blk", *[F.last(f"_e_{nm}", True).over(wb).alias(f"_p_{nm}") for nm in values])
+    j = attach(s, carry, group_cols + ["_blk"], how="inner")  # groups x blocks rows
+    out = j.withColumns({nm: F.coalesce(F.col(f"_in_{nm}"), F.col(f"_p_{nm}")) for nm in values})
+    return out.drop("_blk", *[f"_{p}_{nm}" for nm in values for p in ("v", "in", "p")])
