@@ -18,20 +18,28 @@ def col_(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _seed_multiplier(seed: int) -> int:
+    """Odd multiplier below 2**31 derived from the seed (Knuth's golden-ratio constant)."""
+    return 2 * ((seed * 2654435761) % (1 << 30)) + 1
+
+
 def fold_of(key, n_folds: int = 5, seed: int = 42) -> Column:
-    """Deterministic fold id in ``[0, n_folds)`` from an integer key (LCG hash).
+    """Deterministic fold id in ``[0, n_folds)`` from an integer key.
 
-    Same arithmetic runs in DuckDB, so folds agree between Spark and the oracle.
-    ``pmod`` first keeps the product below 2**63 under ANSI mode.
+    Two LCG rounds: a fixed one on the key, then one whose multiplier is derived from the seed, so
+    different seeds give unrelated fold designs (an additive seed would only relabel the folds).
+    Plain integer arithmetic, so DuckDB computes the same folds; ``pmod`` keeps products < 2**63.
     """
     k = F.pmod(col_(key).cast("bigint"), F.lit(_M31))
-    h = F.floor(F.pmod(k * F.lit(1103515245) + F.lit(12345 + seed), F.lit(_M31)) / F.lit(65536))
-    return F.pmod(h.cast("bigint"), F.lit(n_folds)).cast("int")
+    x = F.pmod(k * F.lit(1103515245) + F.lit(12345), F.lit(_M31))
+    y = F.pmod(x * F.lit(_seed_multiplier(seed)) + F.lit(seed), F.lit(_M31))
+    return F.pmod(F.floor(y / F.lit(65536)).cast("bigint"), F.lit(n_folds)).cast("int")
 
 
 def fold_of_sql(key: str, n_folds: int = 5, seed: int = 42) -> str:
     """DuckDB twin of :func:`fold_of`."""
-    return (f"cast((((({key} % {_M31}) * 1103515245 + {12345 + seed}) % {_M31}) // 65536) % {n_folds} as int)")
+    x = f"((({key} % {_M31}) * 1103515245 + 12345) % {_M31})"
+    return f"cast((((({x} * {_seed_multiplier(seed)} + {seed}) % {_M31}) // 65536) % {n_folds}) as int)"
 
 
 def nan_to_null(c) -> Column:
