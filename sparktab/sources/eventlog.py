@@ -37,7 +37,11 @@ def _pick(names, idx):
 
 
 def event_log(spark: SparkSession, data_dir: str) -> DataFrame:
-    e = table(spark, data_dir, "events")
+    return event_log_of(table(spark, data_dir, "events"))
+
+
+def event_log_of(e: DataFrame) -> DataFrame:
+    """The event-log mapping over any ``events``-shaped frame (batch or stream)."""
     k = F.get_json_object("props", "$.k").cast("bigint")
     typ = F.element_at(F.create_map(*[F.lit(x) for kv in TYPE_OF.items() for x in kv]), F.col("event_type"))
     llm = typ == "llm_call"
