@@ -169,3 +169,17 @@ def run_summary(spark, d):
                   F.count_if(F.col("type") == "phase_end").alias("phase_ends"),
                   F.count_if(F.col("type") == "llm_call").alias("llm_calls"),
                   F.count_distinct(F.when(F.col("type") == "phase_end", F.col("phase"))).alias("phases"))
+
+
+@query("action_durations", with_event_log("""
+, pe as (select * from ev where type in ('phase_start', 'phase_end'))
+, w as (select *, last_value(case when type = 'phase_start' then ts end ignore nulls) over p as s_ts,
+    last_value(case when type = 'phase_start' then seq end ignore nulls) over p as s_seq,
+    last_value(case when type = 'phase_end' then seq end ignore nulls) over p as e_seq
+  from pe window p as (partition by agent, phase order by seq rows between unbounded preceding and 1 preceding))
+select agent, phase, seq, status, case when s_seq > coalesce(e_seq, -1) then round(epoch(ts) - epoch(s_ts), 4) else 0.0 end as duration_s
+from w where type = 'phase_end'"""))
+def action_durations(spark, d):
+    """start/end pairing keyed by (agent, phase); only end events are listed, status kept."""
+    p = L.pair_start_end(event_log(spark, d), keys=("agent", "phase"))
+    return p.select("agent", "phase", "seq", "status", "duration_s")

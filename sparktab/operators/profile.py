@@ -174,3 +174,20 @@ def duplicate_rows(df: DataFrame, cols: list[str] | None = None, by: list[str] |
 def missing_summary(df: DataFrame) -> DataFrame:
     """Columns with missing values, with dtype and percentage."""
     return column_stats(df).where(F.col("null_pct") > 0).select("column_name", "dtype", "null_count", "null_pct")
+
+
+def dtype_histogram(df: DataFrame) -> DataFrame:
+    """Number of columns per type (from the schema)."""
+    rows = [(f.dataType.simpleString(),) for f in df.schema.fields]
+    return df.sparkSession.createDataFrame(rows, "dtype string").groupBy("dtype").agg(F.count(F.lit(1)).alias("n_columns"))
+
+
+def profile(df: DataFrame, exact: bool = True) -> dict[str, DataFrame]:
+    """The full profile as long tables - shape/columns (P1-P4), numeric describe (P5-P8),
+    top values (P9), constant / high-cardinality flags (P10-P11), duplicates (P13), dtypes (P2),
+    and an in-memory size estimate in MB (sum of row JSON lengths)."""
+    size = df.agg((F.sum(F.octet_length(F.to_json(F.struct(*[F.col(c) for c in df.columns])))) / 1024.0 ** 2)
+                  .alias("memory_mb"), F.count(F.lit(1)).alias("n_rows"))
+    return {"columns": column_stats(df), "numeric": numeric_describe(df, exact=exact), "top_values": top_values(df),
+            "flags": constant_and_high_cardinality(df), "duplicates": duplicate_rows(df), "dtypes": dtype_histogram(df),
+            "shape": size.withColumn("n_cols", F.lit(len(df.columns)))}

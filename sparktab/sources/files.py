@@ -110,3 +110,17 @@ def load_model(path: str):
         except Exception as e:  # noqa: BLE001 - format probing
             errors.append(f"{cls.__name__}: {type(e).__name__}")
     raise ValueError(f"no model format matched at {path}: {errors}")
+
+
+def read_pair(spark: SparkSession, path: str, fmt: str = "parquet", schema=None,
+              names=("train", "test")) -> tuple[DataFrame, DataFrame]:
+    """The train / test pair of a folder (``train.<fmt>``, ``test.<fmt>``)."""
+    out = []
+    for n in names:
+        p = os.path.join(path, f"{n}.{fmt}")
+        if fmt == "csv":
+            out.append(load_csv(spark, p, schema))
+        else:
+            r = spark.read.format(fmt)
+            out.append((r.schema(schema) if schema is not None else r).load(p))
+    return out[0], out[1]
