@@ -134,7 +134,7 @@ def model_comparison(spark, d):
 def _top_sql():
     from sparktab.sources.listing import with_listing
     return with_listing(f""", imp as ({_imp_sql()})
-select algo, feature, round(importance, 4) as importance, rank from (
+select algo, feature, round(importance, 4) as importance, cast(rank as int) as rank from (
   select *, row_number() over (partition by algo order by importance desc, feature) as rank from imp) where rank <= 5""")
 
 

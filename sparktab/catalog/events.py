@@ -36,8 +36,8 @@ def latest_phase_status(spark, d):
 
 
 @query("llm_totals", with_event_log("""
-select count(*) as count, coalesce(sum(prompt_tokens), 0) as total_prompt_tokens,
-  coalesce(sum(completion_tokens), 0) as total_completion_tokens, coalesce(round(avg(latency_s), 4), 0.0) as avg_latency_s
+select count(*) as count, cast(coalesce(sum(prompt_tokens), 0) as bigint) as total_prompt_tokens,
+  cast(coalesce(sum(completion_tokens), 0) as bigint) as total_completion_tokens, coalesce(round(avg(latency_s), 4), 0.0) as avg_latency_s
 from ev where type = 'llm_call'"""))
 def llm_totals(spark, d):
     """L4: LLM call totals."""
@@ -63,8 +63,9 @@ def call_costs(spark, d):
 
 @query("token_cost_rollup", with_event_log(_COSTS + """
 select case when grouping(agent, phase) = 3 then 'TOTAL' else agent end as agent, phase,
-  sum(prompt_tokens) as prompt_tokens, sum(completion_tokens) as completion_tokens, sum(total_tokens) as total_tokens,
-  round(sum(cost_usd), 6) as cost_usd, count(*) as calls, cast(grouping(agent, phase) as int) as level
+  cast(sum(prompt_tokens) as bigint) as prompt_tokens, cast(sum(completion_tokens) as bigint) as completion_tokens,
+  cast(sum(total_tokens) as bigint) as total_tokens, round(sum(cost_usd), 6) as cost_usd, count(*) as calls,
+  cast(grouping(agent, phase) as bigint) as level
 from costs group by rollup (agent, phase)"""))
 def token_cost_rollup(spark, d):
     """Rollup of tokens and cost by agent and phase with subtotals and a grand total."""
@@ -98,7 +99,7 @@ def timeline(spark, d):
 
 
 @query("model_metric_table", with_event_log("""
-select model, metric, round(mean_value, 6) as mean_value, row_number() over (partition by metric order by mean_value, model) as rank
+select model, metric, round(mean_value, 6) as mean_value, cast(row_number() over (partition by metric order by mean_value, model) as int) as rank
 from (select model, metric, avg(value) as mean_value from ev where type = 'model_metric' group by model, metric)"""))
 def model_metric_table(spark, d):
     """Mean metric per model, ranked ascending."""

@@ -97,7 +97,7 @@ _VAR = ["lat", "lon", "sum", "min_days", "amt_reviews", "avg_reviews", "total_ho
 
 
 @query("variance_cap", with_listing(
-    "select feature, round(variance, 6) as variance, rank, rank <= 4 as keep from (select feature, variance, "
+    "select feature, round(variance, 6) as variance, cast(rank as int) as rank, rank <= 4 as keep from (select feature, variance, "
     "row_number() over (order by variance desc nulls last, feature) as rank from ("
     + " union all ".join(f"select '{c}' as feature, var_samp({c}) as variance from train" for c in _VAR) + "))"))
 def variance_cap(spark, d):

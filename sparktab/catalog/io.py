@@ -13,7 +13,7 @@ from sparktab.sources.eventlog import event_log
 from sparktab.sources.tables import table
 
 
-@query("csv_roundtrip_latin1", "select doc_id, lang, length(text) as n_chars, md5(text) as digest from documents")
+@query("csv_roundtrip_latin1", "select doc_id, lang, cast(length(text) as int) as n_chars, md5(text) as digest from documents")
 def csv_roundtrip_latin1(spark, d):
     """Documents written as Latin-1 CSV, read back through the UTF-8 -> Latin-1 fallback."""
     docs = table(spark, d, "documents").select("doc_id", "lang", "text")

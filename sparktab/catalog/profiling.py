@@ -36,7 +36,7 @@ def _top_sql(c):
 
 
 @query("profile_categorical_top5", with_listing(
-    "select column_name, value, cnt, rank from (select *, row_number() over (partition by column_name "
+    "select column_name, value, cnt, cast(rank as int) as rank from (select *, row_number() over (partition by column_name "
     "order by cnt desc, value asc) as rank from (" + " union all ".join(_top_sql(c) for c in STR)
     + ")) where rank <= 5"))
 def profile_categorical_top5(spark, d):
@@ -87,7 +87,7 @@ def schema_diff(spark, d):
 
 
 @query("duplicate_rows", """
-select lang, sum(c) as n_rows, sum(c - 1) as n_duplicates
+select lang, cast(sum(c) as bigint) as n_rows, cast(sum(c - 1) as bigint) as n_duplicates
 from (select lang, text, count(*) as c from documents group by lang, text) group by lang""")
 def duplicate_rows(spark, d):
     """Repeated document texts per language (digest-keyed shuffle)."""

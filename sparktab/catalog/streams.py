@@ -20,7 +20,7 @@ def _events_path(d):
     (prompt_tokens * coalesce(p.rate_in, 0.001) + completion_tokens * coalesce(p.rate_out, 0.001)) / 1000.0 as cost_usd
   from ev left join prices p on ev.model = p.model and p.model <> '__default__' where type = 'llm_call')
 , w as (select cast(epoch(time_bucket(interval '1 day', ts)) as bigint) as window_start, agent, count(*) as calls,
-    sum(tokens) as tokens, round(sum(cost_usd), 6) as cost_usd from c group by 1, 2)
+    cast(sum(tokens) as bigint) as tokens, round(sum(cost_usd), 6) as cost_usd from c group by 1, 2)
 select * from w where window_start + 86400 <= (select epoch(max(ts)) - 3600 from ev where type = 'llm_call')"""))
 def stream_event_windows(spark, d):
     """Daily token / cost windows per agent from the event stream (closed windows only)."""

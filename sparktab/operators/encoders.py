@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparktab.operators.joins import attach
+from sparktab.operators.joins import attach, checked_small
 from sparktab.operators.ordering import global_index
 
 
@@ -42,13 +42,19 @@ def target_encoding_map(train: DataFrame, cols: list[str], target: str = "target
 
 def _apply_map(df: DataFrame, m: DataFrame, cols: list[str], name, default: Column, value_col: str,
                join_keys: list[str] | None = None) -> DataFrame:
-    """Join one lookup per column; missing / null category -> ``default``."""
+    """Join one lookup per column; missing / null category -> ``default``.
+
+    The whole map is persisted and size-checked once; each column joins its slice, broadcast
+    when the map is under the bound, shuffled (AQE skew handling) otherwise.
+    """
     out = df
     join_keys = join_keys or []
+    m, small = checked_small(m)
     for c in cols:
         mc = (m.where(F.col("feature") == c)
                .select(*join_keys, F.col("value").alias("_v"), F.col(value_col).alias(name(c))))
-        out = attach(out.withColumn("_v", F.col(c).cast("string")), mc, on=join_keys + ["_v"]).drop("_v")
+        out = out.withColumn("_v", F.col(c).cast("string"))
+        out = out.join(F.broadcast(mc) if small else mc, join_keys + ["_v"], "left").drop("_v")
         out = out.withColumn(name(c), F.coalesce(F.col(name(c)), default))
     return out
 
@@ -141,10 +147,11 @@ def label_encoding_map(train: DataFrame, cols: list[str]) -> DataFrame:
 
 def label_encode(train: DataFrame, df: DataFrame, cols: list[str], name=lambda c: f"le_{c}") -> DataFrame:
     """Unseen test values -> -1."""
-    m = label_encoding_map(train, cols)
+    m, small = checked_small(label_encoding_map(train, cols))
     out = df
     for c in cols:
         mc = m.where(F.col("feature") == c).select(F.col("value").alias("_v"), F.col("code").alias(name(c)))
-        out = attach(out.withColumn("_v", F.coalesce(F.col(c).cast("string"), F.lit("nan"))), mc, on=["_v"]).drop("_v")
+        out = out.withColumn("_v", F.coalesce(F.col(c).cast("string"), F.lit("nan")))
+        out = out.join(F.broadcast(mc) if small else mc, ["_v"], "left").drop("_v")
         out = out.withColumn(name(c), F.coalesce(F.col(name(c)), F.lit(-1).cast("bigint")))
     return out
