@@ -187,13 +187,18 @@ __all__ = ["drop_columns", "cast_expr", "clip", "fill_values", "modes", "fill_ex
            "iqr_bounds", "iqr_outlier_mask", "post_clean_checks", "integral_columns"]
 
 
-def with_outlier_flags(df: DataFrame, cols: list[str], factor: float = 1.5) -> DataFrame:
-    """Add ``{c}_outlier`` flags; bounds are fitted in one quantile job (one row per column)."""
-    b = {r["column_name"]: (r["lo"], r["hi"], r["q1"], r["q3"]) for r in iqr_bounds(df, cols, factor).collect()}
+def with_outlier_flags(df: DataFrame, cols: list[str], factor: float = 1.5, bounds: dict | None = None) -> DataFrame:
+    """Add ``{c}_outlier`` flags; bounds (one row per column) are fitted in one quantile job
+    unless given as ``{column: (lo, hi, q1, q3)}``."""
+    b = bounds if bounds is not None else fit_iqr(df, cols, factor)
     return df.withColumns({f"{c}_outlier": (iqr_outlier_mask(df, c, b[c][0], b[c][1]) if c in b and b[c][2] != b[c][3]
                                             else F.lit(False)) for c in cols})
 
 
+def fit_iqr(df: DataFrame, cols: list[str], factor: float = 1.5) -> dict:
+    return {r["column_name"]: (r["lo"], r["hi"], r["q1"], r["q3"]) for r in iqr_bounds(df, cols, factor).collect()}
+
+
 def keep_first(df: DataFrame, cols: list[str], order_col: str) -> DataFrame:
     """One row per distinct ``cols`` value - the first in ``order_col`` order.
 
