@@ -97,7 +97,7 @@ def role_context(spark, d):
     e = _emb(spark, d).join(kb.select("doc_id"), F.col("vec_id") == F.col("doc_id"), "left_semi")
     roles = spark.createDataFrame(role_queries(), "role string, query_pos int, label int")  # configuration rows
     cent = R.centroids(e, "embedding", "label")
-    q = cent.join(F.broadcast(roles.select("label").distinct()), "label", "left_semi")
+    q = cent.join(F.broadcast(roles.select("label").distinct()), "label", "left_semi")  # config rows
     hits = R.topk_inner_product(kb, "doc_id", "embedding", q, "label", "embedding", k=3)
     hits = (hits.withColumnRenamed("query_id", "label").join(F.broadcast(roles), "label")
                 .join(kb.select("doc_id", "text", "topic"), "doc_id"))

@@ -115,7 +115,7 @@ def frequency_map(train: DataFrame, cols: list[str]) -> DataFrame:
         F.count(F.lit(1)).alias("cnt"))
     # per-feature totals come from the partial counts (one row per feature), not a per-feature window
     tot = st.groupBy("feature").agg(F.sum("cnt").alias("tot"))
-    return st.join(F.broadcast(tot), "feature").select("feature", "value", (F.col("cnt") / F.col("tot")).alias("freq"))
+    return st.join(F.broadcast(tot), "feature")  # one row per encoded column.select("feature", "value", (F.col("cnt") / F.col("tot")).alias("freq"))
 
 
 def frequency_encode(train: DataFrame, df: DataFrame, cols: list[str],
@@ -132,6 +132,7 @@ def oof_frequency_encode(train: DataFrame, cols: list[str], fold_col: str = "fol
     cat_tot = st.groupBy("feature", "value").agg(F.sum("c_f").alias("c_all"))
     fold_tot = st.groupBy("feature", fold_col).agg(F.sum("c_f").alias("t_f"))
     all_tot = st.groupBy("feature").agg(F.sum("c_f").alias("t_all"))
+    # fold_tot / all_tot: (columns x folds) and (columns) rows
     m = (st.join(cat_tot, ["feature", "value"]).join(F.broadcast(fold_tot), ["feature", fold_col])
            .join(F.broadcast(all_tot), "feature")
            .select("feature", "value", fold_col,

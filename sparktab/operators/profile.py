@@ -49,17 +49,30 @@ def value_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
     return df.select(F.inline(pairs)).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("cnt"))
 
 
-def column_stats(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
-    """(column, dtype, n_rows, null_count, null_pct, n_unique) per column."""
+def column_stats(df: DataFrame, cols: list[str] | None = None, exact: bool = True) -> DataFrame:
+    """(column, dtype, n_rows, null_count, null_pct, n_unique) per column.
+
+    ``exact`` counts distinct values through one ``groupBy(column, value)``; ``exact=False`` uses
+    HyperLogLog++ sketches in a single aggregate (no shuffle of values) for the widest tables.
+    """
     cols = cols or df.columns
-    vc = value_counts(df, cols)
-    st = vc.groupBy("column_name").agg(
-        F.sum("cnt").alias("n_rows"),
-        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("cnt"))), F.lit(0)).alias("null_count"),
-        F.count("value").alias("n_unique"))
+    if exact:
+        vc = value_counts(df, cols)
+        st = vc.groupBy("column_name").agg(
+            F.sum("cnt").alias("n_rows"),
+            F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("cnt"))), F.lit(0)).alias("null_count"),
+            F.count("value").alias("n_unique"))
+    else:
+        one = df.agg(F.count(F.lit(1)).alias("_n"),
+                     *[F.count_if(_is_missing(df, c)).alias(f"_m{i}") for i, c in enumerate(cols)],
+                     *[F.approx_count_distinct(F.when(~_is_missing(df, c), F.col(c))).alias(f"_d{i}")
+                       for i, c in enumerate(cols)])
+        st = one.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col("_n").alias("n_rows"),
+                                                    F.col(f"_m{i}").alias("null_count"), F.col(f"_d{i}").alias("n_unique"))
+                                           for i, c in enumerate(cols)])))
     types = df.sparkSession.createDataFrame([(c, df.schema[c].dataType.simpleString()) for c in cols],
                                             "column_name string, dtype string")
-    return (st.join(F.broadcast(types), "column_name")
+    return (st.join(F.broadcast(types), "column_name")  # one row per column
               .select("column_name", "dtype", "n_rows", "null_count",
                       F.round(F.lit(100.0) * F.col("null_count") / F.greatest(F.col("n_rows"), F.lit(1)), 2)
                       .alias("null_pct"), "n_unique"))
