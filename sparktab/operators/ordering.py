@@ -80,3 +80,27 @@ def running_last(df: DataFrame, values: dict, order_col: str, group_cols=(), inc
     j = attach(s, carry, group_cols + ["_blk"], how="inner")  # groups x blocks rows
     out = j.withColumns({nm: F.coalesce(F.col(f"_in_{nm}"), F.col(f"_p_{nm}")) for nm in values})
     return out.drop("_blk", *[f"_{p}_{nm}" for nm in values for p in ("v", "in", "p")])
+
+
+def prefix_sum(df: DataFrame, order_col: str, value_col: str, out_col: str = "cum", group_cols=(),
+               n_blocks: int | None = None) -> DataFrame:
+    """Inclusive running sum of ``value_col`` in ``order_col`` order per group, without a single-task
+    window: key-range blocks sum internally, and each block adds the totals of the blocks before it
+    (a table with one row per (group, block)).  ``order_col`` must be unique within a group."""
+    group_cols = list(group_cols)
+    spark = df.sparkSession
+    n = n_blocks or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    k = F.col(order_col)
+    mm = df.agg(F.min(order_col).alias("lo"), F.max(order_col).alias("hi")).first()
+    if mm["lo"] is None:
+        return df.withColumn(out_col, F.lit(None).cast("bigint"))
+    lo, hi = float(mm["lo"]), float(mm["hi"])
+    width = max((hi - lo) / n, 1e-300)
+    s = df.withColumn("_blk", F.least(F.floor((k.cast("double") - F.lit(lo)) / F.lit(width)), F.lit(n - 1)).cast("int"))
+    w_in = Window.partitionBy(*group_cols, "_blk").orderBy(k).rowsBetween(Window.unboundedPreceding, 0)
+    s = s.withColumn("_in", F.sum(value_col).over(w_in))
+    tot = s.groupBy(*group_cols, "_blk").agg(F.sum(value_col).alias("_t"))
+    wb = Window.partitionBy(*group_cols).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)
+    tot = tot.select(*group_cols, "_blk", F.coalesce(F.sum("_t").over(wb), F.lit(0)).alias("_before"))
+    j = attach(s, tot, group_cols + ["_blk"], how="inner")  # groups x blocks rows
+    return j.withColumn(out_col, F.col("_before") + F.col("_in")).drop("_blk", "_in", "_before")

@@ -18,8 +18,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparktab.operators.joins import attach
-from sparktab.operators.ordering import global_index
+from sparktab.operators.joins import attach, checked_small
+from sparktab.operators.ordering import global_index, prefix_sum
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 STRINGY = (T.StringType, T.BooleanType)
@@ -107,13 +107,24 @@ def grouped_quantiles(long: DataFrame, group_cols: list[str], value_col: str, pr
         return pa.select(*group_cols, F.posexplode("q")).select(
             *group_cols, F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("pos") + 1).alias("prob"),
             F.col("col").alias("value"))
-    n = long.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("n"))
+    # ties collapse first (map-side combine): a column with few distinct values costs its distinct
+    # count, not its row count; only distinct values are ordered
+    vc = long.groupBy(*group_cols, "v").agg(F.count(F.lit(1)).alias("c"))
+    n = vc.groupBy(*group_cols).agg(F.sum("c").alias("n"))
     need = n.select(*group_cols, F.inline(F.array(*[
         F.struct(F.lit(float(p)).alias("prob"), ((F.col("n") - 1) * F.lit(float(p))).alias("h")) for p in probs])))
     need = need.select(*group_cols, "prob", "h", F.explode(F.array_distinct(F.array(
         F.floor("h").cast("bigint"), F.ceil("h").cast("bigint")))).alias("i"))
-    idx = global_index(long, ["v"], "i", group_cols=group_cols)
-    picked = attach(idx, need, group_cols + ["i"], how="inner")  # groups x probs x 2 rows
+    pos = global_index(vc, ["v"], "pos", group_cols=group_cols)
+    cum = prefix_sum(pos, "pos", "c", "cum", group_cols)  # value v holds ranks [cum - c, cum - 1]
+    need, small = checked_small(need)  # groups x probs x 2 rows
+    nd = need.select(*[F.col(g).alias(f"_n_{g}") for g in group_cols], "prob", "h", "i")
+    cond = [F.col(g) == F.col(f"_n_{g}") for g in group_cols] + \
+        [F.col("cum") - F.col("c") <= F.col("i"), F.col("i") < F.col("cum")]
+    cnd = cond[0]
+    for c in cond[1:]:
+        cnd = cnd & c
+    picked = cum.join(F.broadcast(nd) if small else nd, cnd, "inner")
     return picked.groupBy(*group_cols, "prob").agg(
         F.max(F.when(F.col("i") == F.floor("h"), F.col("v"))).alias("lo"),
         F.max(F.when(F.col("i") == F.ceil("h"), F.col("v"))).alias("hi"),
