@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import functions as F
 
 from sparktab.catalog.registry import query
@@ -41,5 +39,3 @@ def report_roundtrip(spark, d):
     back = IO.load_report(spark, path, "phase_durations", "phase string, seq long, duration_s double, run string")
     return back.groupBy("phase").agg(F.count(F.lit(1)).alias("ends"), F.round(F.sum("duration_s"), 4).alias("total_s"))
 
-
-__all__ = ["csv_roundtrip_latin1", "report_roundtrip", "os"]

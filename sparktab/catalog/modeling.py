@@ -6,8 +6,6 @@ target statistics run on the derived prediction table and have SQL twins.
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import functions as F
 
 from sparktab.catalog.registry import query
@@ -25,11 +23,19 @@ FAST_GROUPS = {"geo_features": {"enabled": True, "n_clusters": 8}, "text_feature
                "n_components": 5, "max_features": 200}}
 
 
-def _run(spark, d, algos=None):
-    train, test = listing_pair(spark, d)
-    fp = FeaturePlan(geo_n_init=2)
-    fp.groups.update(FAST_GROUPS)
-    return train_and_predict(train, test, algos or LEARNERS, features=fp)
+_RUNS: dict = {}
+
+
+def _run(spark, d):
+    """One train-and-predict run per (session, data folder), shared by the queries that read its
+    outputs; its feature frames are checkpointed, so the reuse holds no long lineage."""
+    key = (id(spark), spark.sparkContext.applicationId, d)
+    if key not in _RUNS:
+        train, test = listing_pair(spark, d)
+        fp = FeaturePlan(geo_n_init=2)
+        fp.groups.update(FAST_GROUPS)
+        _RUNS[key] = train_and_predict(train, test, LEARNERS, features=fp)
+    return _RUNS[key]
 
 
 @query("train_oof")
@@ -174,5 +180,3 @@ def experiment_loop(spark, d):
              {"algos": {"linear": {}, "rf": {"n_estimators": 10, "max_depth": 5}}, "features": base}]
     return improvement_loop(spark, train, test, cands, max_iterations=2, accept_mse=100.0)
 
-
-__all__ = ["lru_cache"]

@@ -115,7 +115,8 @@ def frequency_map(train: DataFrame, cols: list[str]) -> DataFrame:
         F.count(F.lit(1)).alias("cnt"))
     # per-feature totals come from the partial counts (one row per feature), not a per-feature window
     tot = st.groupBy("feature").agg(F.sum("cnt").alias("tot"))
-    return st.join(F.broadcast(tot), "feature")  # one row per encoded column.select("feature", "value", (F.col("cnt") / F.col("tot")).alias("freq"))
+    out = st.join(F.broadcast(tot), "feature")  # tot: one row per encoded column
+    return out.select("feature", "value", (F.col("cnt") / F.col("tot")).alias("freq"))
 
 
 def frequency_encode(train: DataFrame, df: DataFrame, cols: list[str],
