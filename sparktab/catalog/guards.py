@@ -5,12 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparktab.catalog.registry import query
-from sparktab.functions.scalar import fold_of
 from sparktab.operators import features as X
 from sparktab.operators import guards as G
 from sparktab.sources.listing import LISTING_COLUMNS, listing, listing_pair, with_listing
 from sparktab.sources.predictions import ALGOS, predictions, with_predictions
-from sparktab.sources.sqltwins import fold_sql
 from sparktab.sources.tables import table
 
 _LI_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
@@ -97,7 +95,7 @@ def guard_predictions(spark, d):
 
 @query("guard_submission", with_listing(f"""
 , sub as (select _id, 340.0 + 0.1 * sum + 5.0 * total_host as target from test)
-, sample as (select _id, target from listing where {fold_sql('_id', 5, 42)} = 0)
+, sample as (select _id, target from listing)
 , st as (select min(target) as mn, max(target) as mx, count(*) as n from sample)
 select 'submission' as dataset, * from (select unnest([
   {{'check': 'column_mismatch', 'value': 0::double, 'limit': 0::double, 'ok': true}},
@@ -113,10 +111,10 @@ select 'submission' as dataset, * from (select unnest([
     'limit': 0::double, 'ok': count(*) filter (where st.mn <> st.mx and (target < st.mn * 0.01 or target > st.mx * 100.0)) = 0}}
   ], recursive := true) from sub, st)"""))
 def guard_submission(spark, d):
-    """A formula submission for the test split checked against another split's sample."""
+    """A formula submission for the test split checked against a sample covering every listing."""
     _, test = listing_pair(spark, d)
     sub = test.select("_id", (F.lit(340.0) + F.lit(0.1) * F.col("sum") + F.lit(5.0) * F.col("total_host")).alias("target"))
-    sample = listing(spark, d).where(fold_of("_id", 5, 42) == 0).select("_id", "target")
+    sample = listing(spark, d).select("_id", "target")
     return G.validate_submission(sub, sample)
 
 
