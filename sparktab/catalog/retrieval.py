@@ -6,11 +6,14 @@ from pyspark.sql import functions as F
 
 from sparktab.catalog.registry import query
 from sparktab.operators import retrieval as R
+from sparktab.sources.listing import LISTING_COLUMNS as _LISTING_COLS
+from sparktab.sources.listing import listing_pair, with_listing
 from sparktab.sources.tables import table
 
 # Role -> number of queries per role (fixed values of the reference's role query lists).
 ROLES = [("DataAgent", 3), ("FeatureAgent", 5), ("ModelAgent", 4), ("EvaluatorAgent", 3), ("OrchestratorAgent", 2)]
 N_LABELS = 10
+N_EXTRA_BASE = sum(n for _, n in ROLES)  # extra queries continue the label rotation
 
 
 def role_queries():
@@ -76,10 +79,18 @@ def context_blocks(spark, d):
 
 
 def _roles_sql():
-    return "select * from (values " + ", ".join(f"('{r}', {p}, {lab})" for r, p, lab in role_queries()) + ") as t(role, query_pos, label)"
-
-
-@query("role_context", _KB_SQL + f"""
+    base = "select * from (values " + ", ".join(f"('{r}', {p}, {lab})" for r, p, lab in role_queries()) + ") as t(role, query_pos, label)"
+    cells = " + ".join(f"(count(*) - count({c}))" for c in _LISTING_COLS)
+    signals = (f"(select ({cells}) / (count(*) * {len(_LISTING_COLS)}.0) as missing_pct, skewness(target) as target_skew, "
+               "count(*) as n_rows from train)")
+    extras = []
+    for i, (col, thr) in enumerate(R.PROFILE_RULES):
+        for r, c in ROLES:
+            extras.append(f"select '{r}', {c + i}, {(N_EXTRA_BASE + i) % N_LABELS} from {signals} s where s.{col} > {thr}")
+    return base + " union all " + " union all ".join(extras)
+
+
+@query("role_context", with_listing(", " + _KB_SQL.strip()[len("with "):]) + f"""
 , roles as ({_roles_sql()})
 , s as (select label, vec_id as doc_id, round(list_dot_product(q, v), 6) as score from qn, dn)
 , h as (select * from (select *, row_number() over (partition by label order by score desc, doc_id) as rank from s) where rank <= 3)
@@ -96,6 +107,11 @@ def role_context(spark, d):
     kb = _kb(spark, d)
     e = _emb(spark, d).join(kb.select("doc_id"), F.col("vec_id") == F.col("doc_id"), "left_semi")
     roles = spark.createDataFrame(role_queries(), "role string, query_pos int, label int")  # configuration rows
+    train, _ = listing_pair(spark, d)
+    fired = [r["extra"] for r in R.extra_queries(R.profile_signals(train)).collect() if r["fired"]]  # <= 3 rows
+    if fired:
+        ex = [(r, c + i, (N_EXTRA_BASE + i) % N_LABELS) for i in fired for r, c in ROLES]
+        roles = roles.unionByName(spark.createDataFrame(ex, "role string, query_pos int, label int"))
     cent = R.centroids(e, "embedding", "label")
     q = cent.join(F.broadcast(roles.select("label").distinct()), "label", "left_semi")  # config rows
     hits = R.topk_inner_product(kb, "doc_id", "embedding", q, "label", "embedding", k=3)

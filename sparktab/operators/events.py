@@ -129,7 +129,7 @@ def feedback_improvement(hist: DataFrame, digits: int = 6) -> DataFrame:
 
 
 def iteration_decisions(hist: DataFrame, accept_mse: float = 8000.0, min_rel: float = 0.01,
-                        max_iterations: int | None = None, digits: int = 6) -> DataFrame:
+                        max_iterations: int | None = None, digits: int = 6, accept_r2: float = 0.90) -> DataFrame:
     """Relative improvement vs the previous iteration and the accept / improve decision.
 
     ACCEPT when MSE <= accept_mse, when the improvement is below ``min_rel`` (both MSEs > 0), or on
@@ -143,7 +143,9 @@ def iteration_decisions(hist: DataFrame, accept_mse: float = 8000.0, min_rel: fl
                  (F.col("prev_mse") - F.col("best_mse")) / F.col("prev_mse"))
     mx = F.max("iteration").over(Window.partitionBy(F.lit(1))) if last_it is None else F.lit(last_it)
     h = h.withColumn("rel_improvement", rel).withColumn("_last", mx)
+    r2_ok = (F.col("r2") > accept_r2) if "r2" in hist.columns else F.lit(False)
     reason = (F.when(F.col("best_mse") <= accept_mse, F.lit("mse_threshold"))
+               .when(r2_ok, F.lit("r2_threshold"))
                .when(F.col("rel_improvement") < min_rel, F.lit("converged"))
                .when(F.col("iteration") >= F.col("_last"), F.lit("max_iterations"))
                .otherwise(F.lit("continue")))

@@ -114,3 +114,23 @@ def role_context(hits: DataFrame, cap: int = 12) -> DataFrame:
     w = Window.partitionBy("role").orderBy(F.col("score").desc(), "query_pos", "rank")
     top = f.withColumn("pos", F.row_number().over(w)).where(F.col("pos") <= cap)
     return top
+
+
+# Fixed thresholds of the reference's profile-driven extra queries (in order):
+# overall missing fraction > 0.1, target skew > 1.0, more than 100 000 rows.
+PROFILE_RULES = [("missing_pct", 0.1), ("target_skew", 1.0), ("n_rows", 100_000)]
+
+
+def profile_signals(df: DataFrame, target: str = "target") -> DataFrame:
+    """One row: missing_pct (null cells / all cells), target_skew (bias-corrected G1), n_rows."""
+    n = F.count(F.lit(1))
+    nulls = sum(F.count_if(F.col(c).isNull()) for c in df.columns)
+    g1 = F.skewness(target)
+    return df.agg((nulls / (n * F.lit(len(df.columns)))).alias("missing_pct"),
+                  (g1 * F.sqrt(n * (n - 1)) / (n - 2)).alias("target_skew"), n.alias("n_rows"))
+
+
+def extra_queries(signals: DataFrame) -> DataFrame:
+    """(extra, fired): which profile-driven queries are added for every role."""
+    return signals.select(F.inline(F.array(*[F.struct(F.lit(i).alias("extra"), (F.col(c) > t).alias("fired"))
+                                             for i, (c, t) in enumerate(PROFILE_RULES)])))
