@@ -56,7 +56,8 @@ def cast_expr(df: DataFrame, c: str, kind: str, int_ok: bool = True, null_as_tex
     return x.cast("string").try_cast(kind)
 
 
-def fill_values(df: DataFrame, strategies: dict[str, str], skip_unknown_on_typed: bool = True) -> dict:
+def fill_values(df: DataFrame, strategies: dict[str, str], skip_unknown_on_typed: bool = True,
+                empty_mode_default: bool = True) -> dict:
     """C7 fit: one fill value per column from ``df`` (mean / median / mode / zero / unknown / literal).
 
     mean/median on non-numeric fall back to mode; an empty mode gives 0 (numeric) or 'unknown'.
@@ -90,11 +91,12 @@ def fill_values(df: DataFrame, strategies: dict[str, str], skip_unknown_on_typed
         for r in quantiles(df, want_median, (0.5,)).collect():  # one row per column
             out[r["column_name"]] = r["value"]
     if want_mode:
-        out.update(modes(df, want_mode))
+        # agent form: a column with no values keeps its nulls; tools form: 0 / 'unknown'
+        out.update(modes(df, want_mode, with_default=empty_mode_default))
     return out
 
 
-def modes(df: DataFrame, cols: list[str]) -> dict:
+def modes(df: DataFrame, cols: list[str], with_default: bool = True) -> dict:
     """Most frequent non-null value per column; ties -> smallest (numeric order for numbers).
 
     Counting is a ``groupBy(column, value)`` with map-side combine; the top-1 per column is a
@@ -110,7 +112,7 @@ def modes(df: DataFrame, cols: list[str]) -> dict:
     for r in top:
         res[r["c"]] = r["d"] if r["d"] is not None else r["s"]
     for c in cols:
-        res.setdefault(c, 0 if is_numeric(df, c) else "unknown")
+        res.setdefault(c, (0 if is_numeric(df, c) else "unknown") if with_default else None)
     return res
 
 

@@ -67,7 +67,7 @@ class CleaningPlan:
         ints = [c for c, k in self.type_conversions.items() if k == "int" and c in train.columns]
         int_ok = C.integral_columns(train, ints)
         t = self._clip(C.drop_columns(self._convert(train, int_ok), self.drop_columns), True)
-        fills = C.fill_values(t, self.imputation)
+        fills = C.fill_values(t, self.imputation, empty_mode_default=False)
         ffill = [c for c, s in self.imputation.items() if s == "ffill" and c in t.columns]
         return CleaningModel(self, int_ok, fills, ffill)
 
