@@ -80,7 +80,7 @@ select _id, round(sum(weight * prediction) / sum(weight), 6) as prediction from
 def inverse_mse_blend(spark, d):
     """Inverse-MSE weighted average of the three derived predictors per row."""
     p = predictions(spark, d)
-    w = M.inverse_mse_weights(V.fold_metrics(p))
+    w = M.inverse_mse_weights(V.fold_metrics(p, digits=None))
     return M.blend(p, w).select("_id", r6("prediction").alias("prediction"))
 
 

@@ -18,9 +18,9 @@ from sparktab.operators.metrics import regression_metrics
 from sparktab.operators.profile import grouped_quantiles
 
 
-def fold_metrics(preds: DataFrame, by=("algo",), fold_col: str = "fold") -> DataFrame:
+def fold_metrics(preds: DataFrame, by=("algo",), fold_col: str = "fold", digits: int | None = 6) -> DataFrame:
     """(by..., fold, n, mse, rmse, mae, r2) per fold."""
-    return regression_metrics(preds, "target", "prediction", [*by, fold_col])
+    return regression_metrics(preds, "target", "prediction", [*by, fold_col], digits)
 
 
 def cv_stability(fm: DataFrame, by=("algo",), digits: int = 6) -> DataFrame:
