@@ -18,12 +18,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from pyspark import StorageLevel
+
 from sparktab.operators.joins import attach, checked_small
 from sparktab.operators.ordering import global_index, prefix_sum
 
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 STRINGY = (T.StringType, T.BooleanType)
 
+# Distinct values per group that one window task may sort; above it ranks come from the
+# distributed index (range partitioning + blocked prefix sums).
+MAX_WINDOW_ROWS = 2_000_000
+
 
 def numeric_columns(df: DataFrame, exclude=()) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NUMERIC) and f.name not in exclude]
@@ -109,14 +115,21 @@ def grouped_quantiles(long: DataFrame, group_cols: list[str], value_col: str, pr
             F.col("col").alias("value"))
     # ties collapse first (map-side combine): a column with few distinct values costs its distinct
     # count, not its row count; only distinct values are ordered
-    vc = long.groupBy(*group_cols, "v").agg(F.count(F.lit(1)).alias("c"))
-    n = vc.groupBy(*group_cols).agg(F.sum("c").alias("n"))
-    need = n.select(*group_cols, F.inline(F.array(*[
+    vc = long.groupBy(*group_cols, "v").agg(F.count(F.lit(1)).alias("c")).persist(StorageLevel.MEMORY_AND_DISK)
+    st = vc.groupBy(*group_cols).agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("m"))
+    st, _ = checked_small(st)  # one row per group
+    widest = st.agg(F.max("m")).first()[0] or 0
+    need = st.select(*group_cols, F.inline(F.array(*[
         F.struct(F.lit(float(p)).alias("prob"), ((F.col("n") - 1) * F.lit(float(p))).alias("h")) for p in probs])))
     need = need.select(*group_cols, "prob", "h", F.explode(F.array_distinct(F.array(
         F.floor("h").cast("bigint"), F.ceil("h").cast("bigint")))).alias("i"))
-    pos = global_index(vc, ["v"], "pos", group_cols=group_cols)
-    cum = prefix_sum(pos, "pos", "c", "cum", group_cols)  # value v holds ranks [cum - c, cum - 1]
+    if widest <= MAX_WINDOW_ROWS:
+        # proven bound: no group has more distinct values than one task sorts comfortably
+        w = Window.partitionBy(*group_cols).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
+        cum = vc.withColumn("cum", F.sum("c").over(w))
+    else:
+        pos = global_index(vc, ["v"], "pos", group_cols=group_cols)
+        cum = prefix_sum(pos, "pos", "c", "cum", group_cols)  # value v holds ranks [cum - c, cum - 1]
     need, small = checked_small(need)  # groups x probs x 2 rows
     nd = need.select(*[F.col(g).alias(f"_n_{g}") for g in group_cols], "prob", "h", "i")
     cond = [F.col(g) == F.col(f"_n_{g}") for g in group_cols] + \
