@@ -45,6 +45,16 @@ def global_index(df: DataFrame, order_cols: list[str], index_col: str = "index",
                .drop("_pid", "_mid", "_min", "_off"))
 
 
+# Rows per group that one window task may hold; larger groups are cut into key-range blocks.
+MAX_WINDOW_ROWS = 2_000_000
+
+
+def _largest_group(df: DataFrame, group_cols: list[str]) -> int:
+    """Row count of the largest group (one aggregate; groups x 1 rows)."""
+    g = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n")) if group_cols else df.select(F.count(F.lit(1)).alias("_n"))
+    return g.agg(F.max("_n")).first()[0] or 0
+
+
 def running_last(df: DataFrame, values: dict, order_col: str, group_cols=(), inclusive: bool = True,
                  reverse: bool = False, n_blocks: int | None = None) -> DataFrame:
     """Add, per name in ``values``, the last non-null value of that expression among the rows before
@@ -58,8 +68,13 @@ def running_last(df: DataFrame, values: dict, order_col: str, group_cols=(), inc
     """
     group_cols = list(group_cols)
     spark = df.sparkSession
-    n = n_blocks or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     k = F.col(order_col)
+    ordk = k.desc() if reverse else k.asc()
+    if n_blocks is None and _largest_group(df, group_cols) <= MAX_WINDOW_ROWS:
+        # proven bound: every group fits one window task, so no blocks are needed
+        w = Window.partitionBy(*group_cols).orderBy(ordk).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
+        return df.withColumns({nm: F.last(e, True).over(w) for nm, e in values.items()})
+    n = n_blocks or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     mm = df.agg(F.min(order_col).alias("lo"), F.max(order_col).alias("hi")).first()
     if mm["lo"] is None:
         return df.withColumns({name: F.lit(None) for name in values})
@@ -67,7 +82,6 @@ def running_last(df: DataFrame, values: dict, order_col: str, group_cols=(), inc
     width = max((hi - lo) / n, 1e-300)
     blk = F.least(F.floor((k.cast("double") - F.lit(lo)) / F.lit(width)), F.lit(n - 1)).cast("int")
     s = df.withColumn("_blk", blk).withColumns({f"_v_{nm}": e for nm, e in values.items()})
-    ordk = k.desc() if reverse else k.asc()
     w_in = Window.partitionBy(*group_cols, "_blk").orderBy(ordk).rowsBetween(
         Window.unboundedPreceding, 0 if inclusive else -1)
     s = s.select("*", *[F.last(f"_v_{nm}", True).over(w_in).alias(f"_in_{nm}") for nm in values])

@@ -49,23 +49,25 @@ def test_global_index_is_a_permutation(spark):
         assert list(part.sort_values("k")["i"]) == list(range(len(part)))
 
 
-def test_ffill_bfill_matches_pandas_per_group(spark):
+@pytest.mark.parametrize("blocks", [None, 7])
+def test_ffill_bfill_matches_pandas_per_group(spark, blocks):
     rng = np.random.default_rng(5)
     n = 400
     vals = rng.normal(size=n)
     vals[rng.random(n) < 0.6] = np.nan
     pdf = pd.DataFrame({"k": rng.permutation(n), "g": rng.integers(0, 3, n), "v": vals})
     df = spark.createDataFrame(pdf).withColumn("v", F.when(F.isnan("v"), None).otherwise(F.col("v")))
-    out = C.ffill_bfill(df, ["v"], "k", group_cols=["g"], n_blocks=7).toPandas().set_index("k")
+    out = C.ffill_bfill(df, ["v"], "k", group_cols=["g"], n_blocks=blocks).toPandas().set_index("k")
     exp = pdf.sort_values("k").groupby("g", group_keys=False)["v"].apply(lambda s: s.ffill().bfill())
     for k, v in exp.items():
         got = out.loc[pdf.loc[k, "k"], "v"]
         assert (pd.isna(v) and pd.isna(got)) or got == pytest.approx(v)
 
 
-def test_running_last_exclusive(spark):
+@pytest.mark.parametrize("blocks", [None, 2])
+def test_running_last_exclusive(spark, blocks):
     df = spark.createDataFrame([(1, "a", 10.0), (2, "a", None), (3, "a", 30.0), (4, "a", None)], "k long, g string, v double")
-    r = {x.k: x.p for x in running_last(df, {"p": F.col("v")}, "k", ["g"], inclusive=False, n_blocks=2).collect()}
+    r = {x.k: x.p for x in running_last(df, {"p": F.col("v")}, "k", ["g"], inclusive=False, n_blocks=blocks).collect()}
     assert r == {1: None, 2: 10.0, 3: 10.0, 4: 30.0}
 
 
