@@ -113,19 +113,20 @@ def _basic(spark, d):
 
 @query("benchmark_cv")
 def benchmark_cv(spark, d):
-    """Per learner and fold - mse, rmse, mae, r2, training seconds, feature count (long table)."""
+    """Per learner and fold - mse, rmse, mae, r2, training / inference seconds, feature count (long table)."""
     tr, te, feats = _basic(spark, d)
     tables = []
     for algo, params in LEARNERS.items():
-        r = M.cross_validate(tr, None, algo, params, feats, ["location_cluster", "type_house"])
-        t = spark.createDataFrame([(algo, f, float(s)) for f, s in r.timings], "algo string, fold int, train_s double")
+        r = M.cross_validate(tr, None, algo, params, feats, ["location_cluster", "type_house"], time_inference=True)
+        t = spark.createDataFrame([(algo, f, float(s), float(i)) for f, s, i in r.timings],
+                                  "algo string, fold int, train_s double, infer_s double")
         fm = r.fold_metrics.join(t, ["algo", "fold"]).withColumn("n_features", F.lit(len(feats) + 2))
         tables.append(fm)
     out = tables[0]
     for t in tables[1:]:
         out = out.unionByName(t)
     long = out.select("algo", "fold", F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value"))
-                                                       for m in ("mse", "rmse", "mae", "r2", "train_s", "n_features")])))
+                                                       for m in ("mse", "rmse", "mae", "r2", "train_s", "infer_s", "n_features")])))
     return long.withColumn("run", F.lit("listing"))
 
 

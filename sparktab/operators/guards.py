@@ -43,8 +43,8 @@ def validate_dataset(df: DataFrame, dataset: str = "data", max_rows: int = 2_000
     cols = df.columns
     aggs = [F.count(F.lit(1)).alias("_n"),
             (F.sum(F.octet_length(F.to_json(F.struct(*[F.col(c) for c in cols])))) / (1024.0 ** 2)).alias("_mb")]
-    aggs += [F.count(F.when(~F.isnan(c), F.lit(1)) if _is_float(df, c) else F.col(c)).alias(f"_nn_{i}")
-             for i, c in enumerate(cols)]
+    aggs += [F.count(F.when(F.col(c).isNotNull() & ~F.isnan(c), F.lit(1)) if _is_float(df, c) else F.col(c))
+             .alias(f"_nn_{i}") for i, c in enumerate(cols)]
     a = df.agg(*aggs)
     if id_col and id_col in cols:
         dup = df.groupBy(id_col).agg(F.count(F.lit(1)).alias("c")).agg(

@@ -104,3 +104,11 @@ def test_llm_output_validation(spark):
     ok, out = S.validate_output(F.col("t"))
     r = [(x.ok, x.out) for x in df.select(ok.alias("ok"), out.alias("out")).collect()]
     assert r == [(False, ""), (True, '{"a": 1}'), (False, "not json at all")]
+
+
+def test_all_null_column_flagged(spark):
+    df = spark.createDataFrame([(1, None, 2.0), (2, None, 3.0)], "_id long, empty double, target double")
+    assert _checks(G.validate_dataset(df, target_col="target"))["empty_columns"] is False
+    from sparktab.operators.profile import column_stats
+    st = {r.column_name: (r.null_count, r.n_unique) for r in column_stats(df).collect()}
+    assert st["empty"] == (2, 0)
