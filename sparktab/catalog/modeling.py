@@ -154,7 +154,28 @@ def overfit_check(spark, d):
     return M.overfit_check(r, tr, feats, ["location_cluster"])
 
 
-@query("evaluation_report")
+_E = "(target - prediction)"
+_REPORT_SQL = f"""
+, m as (select algo, avg({_E}*{_E}) as mse, sqrt(avg({_E}*{_E})) as rmse, avg(abs({_E})) as mae,
+    1 - sum({_E}*{_E}) / (var_pop(target) * count(*)) as r2 from preds group by algo)
+, fmr as (select algo, fold, round(avg({_E}*{_E}), 6) as mse from preds group by algo, fold)
+, st as (select algo, avg(mse) as mean_mse, stddev_pop(mse) as std_mse, 100.0 * stddev_pop(mse) / greatest(avg(mse), 1e-9) as cv_pct
+    from fmr group by algo)
+, r as (select algo, {_E} as x from preds)
+, rs as (select algo, count(x) as n, avg(x) as mean, stddev_pop(x) as std, quantile_cont(x, 0.05) as p5, quantile_cont(x, 0.95) as p95,
+    skewness(x) * (count(x) - 2) / sqrt(count(x) * (count(x) - 1.0)) as skew, kurtosis_pop(x) as kurt from r group by algo)
+, rj as (select *, exp(-(n / 6.0 * (skew * skew + kurt * kurt / 4.0)) / 2) as jb_p from rs)
+select algo, metric, value from (
+  select algo, unnest(['metrics.mse', 'metrics.rmse', 'metrics.mae', 'metrics.r2']) as metric,
+         unnest([round(mse, 6), round(rmse, 6), round(mae, 6), round(r2, 6)]) as value from m
+  union all select algo, unnest(['stability.mean_mse', 'stability.std_mse', 'stability.cv_pct']),
+         unnest([round(mean_mse, 6), round(std_mse, 6), round(cv_pct, 6)]) from st
+  union all select algo, unnest(['residuals.mean', 'residuals.std', 'residuals.p5', 'residuals.p95', 'residuals.skew',
+         'residuals.kurt', 'residuals.jb_p']),
+         unnest([round(mean, 6), round(std, 6), round(p5, 6), round(p95, 6), round(skew, 6), round(kurt, 6), round(jb_p, 6)]) from rj)"""
+
+
+@query("evaluation_report", with_predictions(_REPORT_SQL))
 def evaluation_report(spark, d):
     """Long report (scope, metric, value) - metrics, stability and residual statistics per model."""
     p = predictions(spark, d)
