@@ -20,6 +20,16 @@ from sparktab.operators.joins import attach
 from sparktab.session import ensure_checkpoint_dir
 
 
+# Rows per group that one window task may hold; larger groups are cut into key-range blocks.
+MAX_WINDOW_ROWS = 2_000_000
+
+
+def _largest_group(df: DataFrame, group_cols: list[str]) -> int:
+    """Row count of the largest group (one aggregate; groups x 1 rows)."""
+    g = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n")) if group_cols else df.select(F.count(F.lit(1)).alias("_n"))
+    return g.agg(F.max("_n")).first()[0] or 0
+
+
 def global_index(df: DataFrame, order_cols: list[str], index_col: str = "index",
                  group_cols: list[str] | None = None, n_parts: int | None = None) -> DataFrame:
     """Add ``index_col`` = 0-based position of each row in ``order_cols`` order.
@@ -30,6 +40,10 @@ def global_index(df: DataFrame, order_cols: list[str], index_col: str = "index",
     group_cols = list(group_cols or [])
     keys = group_cols + list(order_cols)
     spark = df.sparkSession
+    if n_parts is None and _largest_group(df, group_cols) <= MAX_WINDOW_ROWS:
+        # proven bound: each group fits one window task; no range sampling or checkpoint needed
+        w = Window.partitionBy(*group_cols).orderBy(*order_cols)
+        return df.withColumn(index_col, (F.row_number().over(w) - 1).cast("bigint"))
     ensure_checkpoint_dir(spark)
     n = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     s = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
@@ -45,16 +59,6 @@ def global_index(df: DataFrame, order_cols: list[str], index_col: str = "index",
                .drop("_pid", "_mid", "_min", "_off"))
 
 
-# Rows per group that one window task may hold; larger groups are cut into key-range blocks.
-MAX_WINDOW_ROWS = 2_000_000
-
-
-def _largest_group(df: DataFrame, group_cols: list[str]) -> int:
-    """Row count of the largest group (one aggregate; groups x 1 rows)."""
-    g = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("_n")) if group_cols else df.select(F.count(F.lit(1)).alias("_n"))
-    return g.agg(F.max("_n")).first()[0] or 0
-
-
 def running_last(df: DataFrame, values: dict, order_col: str, group_cols=(), inclusive: bool = True,
                  reverse: bool = False, n_blocks: int | None = None) -> DataFrame:
     """Add, per name in ``values``, the last non-null value of that expression among the rows before

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from sparktab.functions.scalar import clip
 from sparktab.operators import clean as C
-from sparktab.operators.profile import column_stats
+from sparktab.operators.profile import NUMERIC
 
 TARGET = "target"
 
@@ -115,11 +115,11 @@ def apply_single(df: DataFrame, plan: CleaningPlan) -> DataFrame:
 def default_cleaning_plan(train: DataFrame, target_upper: float = 100_000) -> CleaningPlan:
     """C11: median for every numeric column with nulls, target clipped to [0, upper], ``last_dt`` parsed.
 
-    Built from the column profile (one row per column reaches the driver).
+    Only the null counts of the profile are needed: one aggregate, one row to the driver.
     """
-    st = column_stats(train).where((F.col("null_count") > 0)).select("column_name", "dtype").collect()
-    numeric = {"tinyint", "smallint", "int", "bigint", "float", "double"}
-    imp = {r["column_name"]: "median" for r in st
-           if r["dtype"] in numeric or r["dtype"].startswith("decimal")}
+    numeric = [f.name for f in train.schema.fields if isinstance(f.dataType, NUMERIC)]
+    row = train.agg(*[F.count_if(F.col(c).isNull() | F.isnan(F.col(c).cast("double"))).alias(c) for c in numeric]).first() \
+        if numeric else {}
+    imp = {c: "median" for c in numeric if row[c] > 0}
     return CleaningPlan(type_conversions={"last_dt": "datetime"}, imputation=imp,
                         outlier_handling={TARGET: {"method": "clip", "lower": 0, "upper": target_upper}})

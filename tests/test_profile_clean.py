@@ -41,9 +41,10 @@ def test_top_values_ties_by_value(spark):
     assert t == [("c", 2), ("a", 1)]
 
 
-def test_global_index_is_a_permutation(spark):
+@pytest.mark.parametrize("parts", [None, 4])
+def test_global_index_is_a_permutation(spark, parts):
     df = spark.range(5000).select((F.col("id") * 7919 % 5000).alias("k"), (F.col("id") % 3).alias("g"))
-    out = global_index(df, ["k"], "i", group_cols=["g"]).toPandas()
+    out = global_index(df, ["k"], "i", group_cols=["g"], n_parts=parts).toPandas()
     for g, part in out.groupby("g"):
         assert sorted(part["i"]) == list(range(len(part)))
         assert list(part.sort_values("k")["i"]) == list(range(len(part)))
