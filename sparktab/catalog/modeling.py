@@ -202,3 +202,13 @@ def experiment_loop(spark, d):
              {"algos": {"linear": {}, "rf": {"n_estimators": 10, "max_depth": 5}}, "features": base}]
     return improvement_loop(spark, train, test, cands, max_iterations=2, accept_mse=100.0)
 
+
+
+@query("gbt_early_stopping")
+def gbt_early_stopping(spark, d):
+    """M2/M6: boosted trees per fold with patience early stopping; trees kept and fold MSE."""
+    tr, _, feats = _basic(spark, d)
+    r = M.cross_validate(tr, None, "gbt", {"n_estimators": 20, "max_depth": 4, "early_stopping_rounds": 3}, feats,
+                         ["location_cluster"])
+    trees = spark.createDataFrame([(f, int(m.getNumTrees)) for f, m in enumerate(r.models)], "fold int, n_trees int")
+    return r.fold_metrics.join(trees, "fold").select("fold", "n_trees", r6("mse").alias("mse"))
