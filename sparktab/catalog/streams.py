@@ -28,7 +28,22 @@ def stream_event_windows(spark, d):
     return out.withColumn("cost_usd", F.round("cost_usd", 6))
 
 
-@query("stream_pairs")
+@query("stream_pairs", with_event_log("""
+, pe as (select * from ev where type in ('phase_start', 'phase_end'))
+, w as (select *, last_value(case when type = 'phase_start' then ts end ignore nulls) over p as s_ts,
+    last_value(case when type = 'phase_start' then seq end ignore nulls) over p as s_seq,
+    last_value(case when type = 'phase_end' then seq end ignore nulls) over p as e_seq
+  from pe window p as (partition by phase order by seq rows between unbounded preceding and 1 preceding))
+, ends as (select phase, seq, case when s_seq > coalesce(e_seq, -1) then epoch(s_ts) end as start_s, epoch(ts) as end_s,
+    case when s_seq > coalesce(e_seq, -1) then round(epoch(ts) - epoch(s_ts), 4) else 0.0 end as duration_s, status
+  from w where type = 'phase_end')
+, last_end as (select phase, max(seq) filter (where type = 'phase_end') as le from pe group by phase)
+, open_start as (select pe.phase, arg_max(pe.seq, pe.seq) as seq, arg_max(pe.ts, pe.seq) as s_ts from pe join last_end using (phase)
+    where pe.type = 'phase_start' and pe.seq > coalesce(le, -1) group by pe.phase)
+select * from ends
+union all
+select phase, seq, epoch(s_ts) as start_s, cast(null as double) as end_s, cast(null as double) as duration_s, 'timeout' as status
+from open_start where (epoch(s_ts) * 1000)::bigint + 86400000 < (select (epoch(max(ts)) * 1000)::bigint - 3600000 from pe)"""))
 def stream_pairs(spark, d):
     """Keyed-state start/end pairing with event-time timeout for open phases."""
     return S.stream_phase_pairs(spark, _events_path(d))

@@ -78,36 +78,35 @@ def windowed_costs(spark: SparkSession, path: str, window: str = "1 day", waterm
     return spark.read.schema("window_start bigint, agent string, calls bigint, tokens bigint, cost_usd double").parquet(out)
 
 
-PAIR_OUT = "phase string, seq long, start_ts timestamp, end_ts timestamp, duration_s double, status string"
-PAIR_STATE = "s_ts timestamp, s_seq long"
+PAIR_OUT = "phase string, seq long, start_us long, end_us long, status string"
+PAIR_STATE = "s_us long, s_seq long"
 
 
 def _pair_fn(timeout_s: float):
     def fn(key, pdfs, state: GroupState):
         phase = key[0]
-        s_ts, s_seq = (state.get if state.exists else (None, None))
+        s_us, s_seq = (state.get if state.exists else (None, None))
         if state.hasTimedOut:
             state.remove()
-            yield pd.DataFrame([{"phase": phase, "seq": s_seq, "start_ts": s_ts, "end_ts": None, "duration_s": None,
-                                 "status": "timeout"}])
+            yield pd.DataFrame([{"phase": phase, "seq": s_seq, "start_us": s_us, "end_us": None, "status": "timeout"}])
             return
         rows = []
         for pdf in pdfs:
             for r in pdf.sort_values("seq").itertuples(index=False):
                 if r.type == "phase_start":
-                    s_ts, s_seq = r.et, r.seq
+                    s_us, s_seq = int(r.us), int(r.seq)
                 else:
-                    dur = round((r.et - s_ts).total_seconds(), 4) if s_ts is not None else 0.0
-                    rows.append({"phase": phase, "seq": r.seq, "start_ts": s_ts, "end_ts": r.et, "duration_s": dur,
+                    rows.append({"phase": phase, "seq": int(r.seq), "start_us": s_us, "end_us": int(r.us),
                                  "status": r.status})
-                    s_ts, s_seq = None, None
-        if s_ts is not None:
-            state.update((s_ts, s_seq))
-            state.setTimeoutTimestamp(int(pd.Timestamp(s_ts).timestamp() * 1000 + timeout_s * 1000))
+                    s_us, s_seq = None, None
+        if s_us is not None:
+            state.update((s_us, s_seq))
+            state.setTimeoutTimestamp(s_us // 1000 + int(timeout_s * 1000))  # epoch ms, zone-free
         elif state.exists:
             state.remove()
         if rows:
-            yield pd.DataFrame(rows)
+            yield pd.DataFrame(rows, columns=["phase", "seq", "start_us", "end_us", "status"]).astype(
+                {"start_us": "Int64", "end_us": "Int64"})
     return fn
 
 
@@ -115,11 +114,14 @@ def stream_phase_pairs(spark: SparkSession, path: str, timeout_s: float = 86400.
     """start/end pairing as keyed state; an open start times out once the watermark passes
     start + ``timeout_s`` and is emitted with status ``timeout``.
 
-    Rows of one phase in one micro-batch arrive as Arrow chunks and are consumed chunk by chunk,
-    so a hot phase is streamed through its task, not held whole.
+    Event times travel as epoch microseconds, so timeouts and durations do not depend on the
+    session zone.  Rows of one phase in one micro-batch arrive as Arrow chunks and are consumed
+    chunk by chunk, so a hot phase is streamed through its task, not held whole.
+    Output: (phase, seq, start_s, end_s, duration_s, status) with the batch pairing's rounding.
     """
     ev = event_log_of(events_stream(spark, path)).where(F.col("type").isin("phase_start", "phase_end"))
-    ev = ev.withColumn("et", event_time()).select("phase", "seq", "type", "status", "et").withWatermark("et", watermark)
+    ev = (ev.withColumn("et", event_time()).withColumn("us", F.unix_micros("et"))
+            .select("phase", "seq", "type", "status", "et", "us").withWatermark("et", watermark))
     out_df = ev.groupBy("phase").applyInPandasWithState(_pair_fn(timeout_s), PAIR_OUT, PAIR_STATE, "append",
                                                        GroupStateTimeout.EventTimeTimeout)
 
@@ -127,7 +129,11 @@ def stream_phase_pairs(spark: SparkSession, path: str, timeout_s: float = 86400.
         return (out_df.writeStream.outputMode("append").format("parquet").option("path", out)
                 .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     out = _run(build, "x2", spark)
-    return spark.read.schema(PAIR_OUT).parquet(out)
+    r = spark.read.schema(PAIR_OUT).parquet(out)
+    start_s, end_s = F.col("start_us") / F.lit(1e6), F.col("end_us") / F.lit(1e6)
+    dur = F.when(F.col("status") == "timeout", F.lit(None).cast("double")) \
+        .when(F.col("start_us").isNull(), F.lit(0.0)).otherwise(F.round(end_s - start_s, 4))
+    return r.select("phase", "seq", start_s.alias("start_s"), end_s.alias("end_s"), dur.alias("duration_s"), "status")
 
 
 def stream_score(spark: SparkSession, rows_path: str, schema: str, transform) -> DataFrame:

@@ -38,3 +38,19 @@ def test_chunks_overlap(spark):
     ch = TX.chunk_words(df, "id", "t", size=512, overlap=50).orderBy("chunk").collect()
     assert [r.n_words for r in ch] == [512, 512, 76]
     assert ch[1].text.split()[0] == "w462"
+
+
+def test_stream_pairs_timeout_for_open_start(spark):
+    import datetime as dt
+    import tempfile
+
+    from sparktab.streaming import jobs as S
+    d = tempfile.mkdtemp(prefix="sparktab-x2-")
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(1, t0, 0, "signup", 1.0, '{"k": 1}'),                              # phase_0 start, never ended
+            (2, t0 + dt.timedelta(days=3), 1, "signup", 1.0, '{"k": 1}'),        # phase_1 start
+            (3, t0 + dt.timedelta(days=3, seconds=30), 1, "purchase", 50.0, '{"k": 1}')]
+    spark.createDataFrame(rows, S.EVENTS_SCHEMA).write.parquet(d + "/events")
+    out = {r.phase: (r.seq, r.status, r.duration_s) for r in S.stream_phase_pairs(spark, d + "/events").collect()}
+    assert out["phase_0"] == (1, "timeout", None)
+    assert out["phase_1"] == (3, "failed", 30.0)
