@@ -211,3 +211,11 @@ def keep_first(df: DataFrame, cols: list[str], order_col: str) -> DataFrame:
     keyed = df.select("*", F.sha2(canon, 256).alias("_h"), F.length(canon).alias("_l"))
     first = keyed.groupBy("_h", "_l").agg(F.min(order_col).alias(order_col))
     return df.join(first.select(order_col), order_col, "left_semi")
+
+
+def raise_on_errors(checks: DataFrame) -> DataFrame:
+    """Fail the run when an error-severity check failed (warnings pass through); returns ``checks``."""
+    bad = checks.where((F.col("severity") == "error") & ~F.col("ok")).limit(20).collect()  # at most 20 rows
+    if bad:
+        raise ValueError("cleaning checks failed: " + "; ".join(f"{r['check']}={r['value']}" for r in bad))
+    return checks

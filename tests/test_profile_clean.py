@@ -100,3 +100,15 @@ def test_clip_keeps_null_and_iqr_zero_is_false(spark):
 def test_mode_ties_smallest(spark):
     df = spark.createDataFrame([(2.0, "b"), (1.0, "a"), (2.0, "a"), (1.0, "b")], "n double, s string")
     assert C.modes(df, ["n", "s"]) == {"n": 1.0, "s": "a"}
+
+
+def test_post_clean_checks_raise_on_missing_target(spark):
+    train = spark.createDataFrame([(1, None), (2, 3.0), (2, 4.0)], "_id long, target double")
+    test = spark.createDataFrame([(5,)], "_id long")
+    checks = C.post_clean_checks(train, test)
+    got = {r.check: (r.severity, r.ok) for r in checks.collect()}
+    assert got["target_not_null"] == ("error", False) and got["train_ids_unique"] == ("warning", False)
+    with pytest.raises(ValueError):
+        C.raise_on_errors(checks)
+    ok = spark.createDataFrame([(1, 1.0), (1, 2.0)], "_id long, target double")
+    C.raise_on_errors(C.post_clean_checks(ok, test))  # duplicate ids only warn
