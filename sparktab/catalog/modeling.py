@@ -193,13 +193,14 @@ def evaluation_report(spark, d):
 
 @query("experiment_loop")
 def experiment_loop(spark, d):
-    """Bounded loop over two candidate runs; decisions from the appended run table."""
+    """Bounded loop over two candidate runs (the second drops features the first found
+    unimportant); decisions from the appended run table."""
     train, test = listing_pair(spark, d)
     no_heavy = {"geo_features": {"enabled": False}, "text_features": {"enabled": False}}
     base = {k: dict(v) for k, v in FeaturePlan().groups.items()}
     base.update(no_heavy)
     cands = [{"algos": {"linear": {}}, "features": base},
-             {"algos": {"linear": {}, "rf": {"n_estimators": 10, "max_depth": 5}}, "features": base}]
+             {"algos": {"linear": {}, "rf": {"n_estimators": 10, "max_depth": 5}}, "features": base, "prune": True}]
     return improvement_loop(spark, train, test, cands, max_iterations=2, accept_mse=100.0)
 
 
