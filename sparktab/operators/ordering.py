@@ -1,14 +1,17 @@
-"""Distributed total-order index without a single-partition window.
-
-``row_number().over(Window.orderBy(k))`` pulls every row into one task.  Here rows are range
-partitioned, numbered inside their partition, and shifted by the row counts of the earlier
-partitions (a table with one row per partition).
-
-Range partitioning samples its input to choose boundaries, and a shuffled input has no fixed
-order, so two evaluations may cut partitions differently.  The numbered rows are therefore
-materialised once with a reliable ``checkpoint`` (the shared folder of ``spark.checkpoint.dir``)
-before the counts and the numbering are read from them: both sides see the same partitions, and
-a lost executor re-reads the files instead of re-sampling.
+"""Ordered computations inside groups without single-task windows over unbounded data.
+
+``global_index`` (positions), ``running_last`` (as-of / fills) and ``prefix_sum`` (running sums)
+first measure the largest group with one aggregate.  Under ``MAX_WINDOW_ROWS`` a plain per-group
+window is used: the bound is proven.  Above it:
+
+* ``global_index`` range-partitions the rows, numbers them inside each partition and shifts by
+  the row counts of earlier partitions (a table with one row per partition).  Range partitioning
+  samples its input, and a shuffled input has no fixed order, so two evaluations could cut
+  partitions differently; the numbered rows are therefore materialised once with a reliable
+  ``checkpoint`` (the shared ``spark.checkpoint.dir``) before counts and numbers are read.
+* ``running_last`` / ``prefix_sum`` cut each group into key-range blocks (a deterministic function
+  of the key, so retried tasks rebuild the same blocks); each block runs a streaming window, and
+  the edge value / total of every earlier block arrives through a table with one row per block.
 """
 
 from __future__ import annotations
@@ -19,7 +22,6 @@ from pyspark.sql import functions as F
 from sparktab.operators.joins import attach
 from sparktab.session import ensure_checkpoint_dir
 
-
 # Rows per group that one window task may hold; larger groups are cut into key-range blocks.
 MAX_WINDOW_ROWS = 2_000_000
 
