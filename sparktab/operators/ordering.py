@@ -109,8 +109,11 @@ def prefix_sum(df: DataFrame, order_col: str, value_col: str, out_col: str = "cu
     (a table with one row per (group, block)).  ``order_col`` must be unique within a group."""
     group_cols = list(group_cols)
     spark = df.sparkSession
-    n = n_blocks or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     k = F.col(order_col)
+    if n_blocks is None and _largest_group(df, group_cols) <= MAX_WINDOW_ROWS:
+        w = Window.partitionBy(*group_cols).orderBy(k).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumn(out_col, F.sum(value_col).over(w))
+    n = n_blocks or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     mm = df.agg(F.min(order_col).alias("lo"), F.max(order_col).alias("hi")).first()
     if mm["lo"] is None:
         return df.withColumn(out_col, F.lit(None).cast("bigint"))

@@ -112,3 +112,14 @@ def test_post_clean_checks_raise_on_missing_target(spark):
         C.raise_on_errors(checks)
     ok = spark.createDataFrame([(1, 1.0), (1, 2.0)], "_id long, target double")
     C.raise_on_errors(C.post_clean_checks(ok, test))  # duplicate ids only warn
+
+
+@pytest.mark.parametrize("blocks", [None, 3])
+def test_prefix_sum_matches_cumsum(spark, blocks):
+    from sparktab.operators.ordering import prefix_sum
+    rows = [(i % 2, i, float(i % 7)) for i in range(200)]
+    df = spark.createDataFrame(rows, "g int, k long, v double")
+    got = {(r.g, r.k): r.cum for r in prefix_sum(df, "k", "v", "cum", ["g"], n_blocks=blocks).collect()}
+    pdf = pd.DataFrame(rows, columns=["g", "k", "v"]).sort_values("k")
+    pdf["cum"] = pdf.groupby("g")["v"].cumsum()
+    assert all(got[(r.g, r.k)] == r.cum for r in pdf.itertuples())
