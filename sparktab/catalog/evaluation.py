@@ -112,7 +112,27 @@ def paired_t_stat(spark, d):
     return V.compare_fold_scores(_fm(spark, d), with_p=False)
 
 
-@query("paired_t_pvalue")
+def _pvalue_sql(pairs: str) -> str:
+    """Two-sided Student-t p-value for integer df (closed finite series in cos(atan(|t|/sqrt(df))))."""
+    return f"""
+, pt as (select model_a, model_b, n, mean_diff, t_stat, better, n - 1 as nu,
+    atan(abs(t_stat) / sqrt(n - 1)) as th from ({pairs}) where t_stat is not null)
+, tk as (select pt.*, k from pt, unnest(generate_series(0, cast(nu as bigint))) as g(k))
+, ev as (select model_a, model_b, sum(exp(lc) * pow(cos(th), 2 * k)) as s from (
+    select *, sum(case when k = 0 then 0 else ln((2 * k - 1) / (2.0 * k)) end)
+      over (partition by model_a, model_b order by k) as lc from tk) where nu % 2 = 0 and k <= nu / 2 - 1 group by 1, 2)
+, od as (select model_a, model_b, sum(exp(lc) * pow(cos(th), 2 * k + 1)) as s from (
+    select *, sum(case when k = 0 then 0 else ln((2 * k) / (2.0 * k + 1)) end)
+      over (partition by model_a, model_b order by k) as lc from tk) where nu % 2 = 1 and k <= (nu - 3) / 2 group by 1, 2)
+, pr as (select pt.*, case when nu % 2 = 0 then 1 - sin(th) * coalesce(ev.s, 0)
+    else 1 - 2 / pi() * (th + sin(th) * coalesce(od.s, 0)) end as p
+  from pt left join ev using (model_a, model_b) left join od using (model_a, model_b))
+select q.model_a, q.model_b, q.n, q.mean_diff, q.t_stat, q.better, round(pr.p, 6) as p_value
+from ({pairs}) q left join pr using (model_a, model_b)"""
+
+
+@query("paired_t_pvalue", with_predictions(_FM + ", pairs_x as (" + _pair_sql("fmr", "mse", "fold") + ")"
+                                           + _pvalue_sql("select * from pairs_x")))
 def paired_t_pvalue(spark, d):
     """The same with two-sided Student-t p-values (Arrow UDF on the pair rows only)."""
     return V.compare_fold_scores(_fm(spark, d), with_p=True)
@@ -125,7 +145,9 @@ def row_error_t_stat(spark, d):
     return V.compare_row_errors(predictions(spark, d), with_p=False)
 
 
-@query("model_comparison")
+@query("model_comparison", with_predictions(", se as (select _id, algo, (target - prediction) * (target - prediction) as se from preds)"
+                                            + ", pairs_x as (" + _pair_sql("se", "se", "_id") + ")"
+                                            + _pvalue_sql("select * from pairs_x")))
 def model_comparison(spark, d):
     """Pairwise row-level comparison with p-values."""
     return V.compare_row_errors(predictions(spark, d), with_p=True)
