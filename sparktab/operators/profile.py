@@ -14,6 +14,8 @@ partitioning + per-partition counts, never a single-task window or an all-values
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,6 +28,9 @@ from sparktab.operators.ordering import global_index, prefix_sum
 NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType, T.DoubleType, T.DecimalType)
 STRINGY = (T.StringType, T.BooleanType)
 
+# Groups whose sizes may be read on the driver to build the rank requests locally.
+MAX_LOCAL_GROUPS = 10_000
+
 # Distinct values per group that one window task may sort; above it ranks come from the
 # distributed index (range partitioning + blocked prefix sums).
 MAX_WINDOW_ROWS = 2_000_000
@@ -117,12 +122,27 @@ def grouped_quantiles(long: DataFrame, group_cols: list[str], value_col: str, pr
     # count, not its row count; only distinct values are ordered
     vc = long.groupBy(*group_cols, "v").agg(F.count(F.lit(1)).alias("c")).persist(StorageLevel.MEMORY_AND_DISK)
     st = vc.groupBy(*group_cols).agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("m"))
-    st, _ = checked_small(st)  # one row per group
-    widest = st.agg(F.max("m")).first()[0] or 0
-    need = st.select(*group_cols, F.inline(F.array(*[
-        F.struct(F.lit(float(p)).alias("prob"), ((F.col("n") - 1) * F.lit(float(p))).alias("h")) for p in probs])))
-    need = need.select(*group_cols, "prob", "h", F.explode(F.array_distinct(F.array(
-        F.floor("h").cast("bigint"), F.ceil("h").cast("bigint")))).alias("i"))
+    few = st.limit(MAX_LOCAL_GROUPS + 1).collect()  # one row per group, read only when few
+    if len(few) <= MAX_LOCAL_GROUPS:
+        # the rank requests are built from the collected group sizes: no further jobs
+        widest = max([r["m"] for r in few], default=0)
+        req = []
+        for r in few:
+            for p in probs:
+                h = (r["n"] - 1) * float(p)
+                for i in sorted({math.floor(h), math.ceil(h)}):
+                    req.append((*[r[g] for g in group_cols], float(p), float(h), int(i)))
+        schema = T.StructType([st.schema[g] for g in group_cols] + [
+            T.StructField("prob", T.DoubleType()), T.StructField("h", T.DoubleType()), T.StructField("i", T.LongType())])
+        need, small = long.sparkSession.createDataFrame(req, schema), True  # <= groups x probs x 2 rows
+    else:
+        st, _ = checked_small(st)
+        widest = st.agg(F.max("m")).first()[0] or 0
+        need = st.select(*group_cols, F.inline(F.array(*[
+            F.struct(F.lit(float(p)).alias("prob"), ((F.col("n") - 1) * F.lit(float(p))).alias("h")) for p in probs])))
+        need = need.select(*group_cols, "prob", "h", F.explode(F.array_distinct(F.array(
+            F.floor("h").cast("bigint"), F.ceil("h").cast("bigint")))).alias("i"))
+        need, small = checked_small(need)  # groups x probs x 2 rows
     if widest <= MAX_WINDOW_ROWS:
         # proven bound: no group has more distinct values than one task sorts comfortably
         w = Window.partitionBy(*group_cols).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
@@ -130,7 +150,6 @@ def grouped_quantiles(long: DataFrame, group_cols: list[str], value_col: str, pr
     else:
         pos = global_index(vc, ["v"], "pos", group_cols=group_cols)
         cum = prefix_sum(pos, "pos", "c", "cum", group_cols)  # value v holds ranks [cum - c, cum - 1]
-    need, small = checked_small(need)  # groups x probs x 2 rows
     nd = need.select(*[F.col(g).alias(f"_n_{g}") for g in group_cols], "prob", "h", "i")
     cond = [F.col(g) == F.col(f"_n_{g}") for g in group_cols] + \
         [F.col("cum") - F.col("c") <= F.col("i"), F.col("i") < F.col("cum")]

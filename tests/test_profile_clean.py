@@ -9,9 +9,10 @@ from sparktab.operators.ordering import global_index, running_last
 from sparktab.plans.cleaning import CleaningPlan
 
 
-@pytest.mark.parametrize("window_rows", [2_000_000, 10])
-def test_quantiles_match_numpy_linear(spark, monkeypatch, window_rows):
+@pytest.mark.parametrize("window_rows,local_groups", [(2_000_000, 10_000), (10, 10_000), (10, 0)])
+def test_quantiles_match_numpy_linear(spark, monkeypatch, window_rows, local_groups):
     monkeypatch.setattr(P, "MAX_WINDOW_ROWS", window_rows)  # 10 forces the distributed ranking path
+    monkeypatch.setattr(P, "MAX_LOCAL_GROUPS", local_groups)  # 0 builds rank requests in Spark
     rng = np.random.default_rng(3)
     x = np.round(rng.normal(size=997), 2)  # ties included
     df = spark.createDataFrame([(float(v), float(v) * 2) for v in x], "a double, b double")
