@@ -66,3 +66,15 @@ def test_oof_frequency_leave_fold_out(spark):
         assert abs(out.loc[r[0], "freq_oof_c"] - (other.c == r.c).sum() / len(other)) < 1e-12
 
 
+
+
+def test_fold_test_encoding_matches_fold_maps(spark):
+    from sparktab.operators.model import encode_for_fold, fold_te_maps
+    train = _frame(spark)
+    test = spark.createDataFrame([(500, "Common"), (501, "Rare"), (502, "Unseen"), (503, None)], "_id long, type_house string")
+    per_fold = {(r._id, r.fold): r.te_type_house
+                for r in E.fold_target_encode_test(train, test, ["type_house"], smoothing=10.0).collect()}
+    maps, gm = fold_te_maps(train, ["type_house"], smoothing=10.0)
+    for f in range(5):
+        for r in encode_for_fold(test, maps, ["type_house"], f, gm).collect():
+            assert abs(per_fold[(r._id, f)] - r.te_type_house) < 1e-9
