@@ -75,7 +75,16 @@ def stream_score(spark, d):
     return S.stream_score(spark, path, schema, transform)
 
 
-@query("stream_guard")
+@query("stream_guard", """
+with k as (select user_id, event_type, arg_min(value, event_id) as value from events group by 1, 2)
+select cast(0 as bigint) as batch_id, * from (select unnest([
+  {'check': 'rows', 'value': count(*)::double, 'ok': count(*) > 0},
+  {'check': 'null_values', 'value': (count(*) filter (where value is null or isnan(value)))::double,
+   'ok': count(*) filter (where value is null or isnan(value)) = 0},
+  {'check': 'negative_values', 'value': (count(*) filter (where value < 0))::double, 'ok': count(*) filter (where value < 0) = 0}
+  ], recursive := true) from k)""")
 def stream_guard(spark, d):
-    """Per-micro-batch checks on the deduplicated event stream."""
-    return S.stream_guard(spark, _events_path(d))
+    """Checks of every micro-batch that carried rows, on the stream deduplicated within the watermark."""
+    checks = S.stream_guard(spark, _events_path(d))
+    nonempty = checks.where((F.col("check") == "rows") & (F.col("value") > 0)).select("batch_id")
+    return checks.join(nonempty, "batch_id", "left_semi")
