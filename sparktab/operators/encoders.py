@@ -25,8 +25,9 @@ def _long(df: DataFrame, cols: list[str], keep: list[str]) -> DataFrame:
 
 
 def _mean(df: DataFrame, target: str) -> Column:
-    """Global target mean as a lazily evaluated scalar subquery."""
-    return df.select(F.avg(target)).scalar()
+    """Global target mean, fitted once (one aggregate) and inlined as a literal: a scalar subquery
+    would carry the whole input plan into every encoded expression."""
+    return F.lit(df.select(F.avg(target)).first()[0]).cast("double")
 
 
 def target_encoding_map(train: DataFrame, cols: list[str], target: str = "target",
