@@ -200,8 +200,9 @@ KINDS: tuple[tuple[str, re.Pattern, Callable], ...] = (
     ("date", re.compile(r"(?<![\d./-])(\d{4})([-/.])(\d{2})\2(\d{2})(?!\d)"), Pseudonymizer.iso_date),
     ("date", re.compile(r"(?<![\d./-])(\d{2})([-/.])(\d{2})\2(\d{4})(?!\d)"), Pseudonymizer.local_date),
     ("ssn", re.compile(r"(?<![\d-])(\d{3})-(\d{2})-(\d{4})(?![\d-])"), Pseudonymizer.ssn),
-    ("card", re.compile(r"(?<![\w.+-])\d(?:[ -]?\d){12,18}(?!\w)"), Pseudonymizer.card),
-    ("phone", re.compile(r"(?<![\w.+-])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{2,4})(?:[ .-]\d{2,4}){2,4}(?!\w)"), Pseudonymizer.phone),
+    ("card", re.compile(r"(?<!\w)(?<!\d[.,])(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,7}|\d{4}([ -])\d{6}\2\d{4,5})(?!\w)"), Pseudonymizer.card),
+    ("phone", re.compile(r"(?<![\w+])(?<!\d[.-])(?:(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4}"
+                         r"|\+\d{1,3}(?:[ .-]?\d{2,4}){2,4})(?!\w|[.-]\d)"), Pseudonymizer.phone),
 )
 NAMES = ("email", "iban", "ip", "date", "ssn", "card", "phone")
 

@@ -1,6 +1,6 @@
 """Secret scans: fixed patterns, and character Markov models for strings that no pattern names.
 
-Two character Markov chains (order 2, additive smoothing) are trained from labelled samples: one
+Two character Markov chains (order 2, smoothed by the lower orders) are trained from labelled samples: one
 on random strings, one on ordinary identifiers.  A candidate token is a secret where the mean
 log-likelihood ratio per character, random against ordinary, exceeds a threshold.
 """
@@ -27,7 +27,7 @@ ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 
 SAMPLE_DOCS = 8000      # documents that labelled strings are taken from
 MAX_SAMPLES = 4000      # labelled strings per class
-THRESHOLD = 0.5         # mean log-likelihood ratio per character
+THRESHOLD = 2.6         # mean log-likelihood ratio per character: long words of other languages reach 2.5
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -41,28 +41,26 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 class MarkovModel:
     """Log-likelihood ratio of two order-2 character chains over ``ALPHABET``."""
 
-    def __init__(self, samples: list[tuple[str, int]], smoothing: float = 0.5):
+    def __init__(self, samples: list[tuple[str, int]], smoothing: float = 0.5, weight: float = 8.0):
         k = len(ALPHABET)
-        self.index = {c: i for i, c in enumerate(ALPHABET)}
-        counts = np.full((2, k + 1, k + 1, k), smoothing)
+        self.k, self.index = k, {c: i for i, c in enumerate(ALPHABET)}
+        seen = np.zeros((2, k + 1, k + 1, k))
         for s, label in samples:
             a = b = k
             for c in s:
                 i = self.index.get(c)
                 if i is None:
-                    a, b = k, k
+                    a = b = k
                     continue
-                counts[int(label), a, b, i] += 1
+                seen[int(label), a, b, i] += 1
                 a, b = b, i
-        # back off to order 1 in proportion to what order 2 has seen
-        order1 = counts.sum(1)
-        p1 = order1 / order1.sum(-1, keepdims=True)
-        seen = counts.sum(-1, keepdims=True) - smoothing * k
-        p2 = counts / counts.sum(-1, keepdims=True)
-        w = seen / (seen + 5.0)
-        p = w * p2 + (1 - w) * p1[:, None]
-        self.ratio = (np.log(p[1]) - np.log(p[0])).tolist()
-        self.k = k
+        # each order is smoothed by the one below it, the characters' own shares by a constant
+        p0 = seen.sum((1, 2)) + smoothing
+        p0 /= p0.sum(-1, keepdims=True)
+        one = seen.sum(1)
+        p1 = (one + weight * p0[:, None]) / (one.sum(-1, keepdims=True) + weight)
+        p2 = (seen + weight * p1[:, None]) / (seen.sum(-1, keepdims=True) + weight)
+        self.ratio = (np.log(p2[1]) - np.log(p2[0])).tolist()
 
     def score(self, s: str) -> float:
         """Mean log-likelihood ratio per character: above 0, random is the likelier source."""

@@ -116,7 +116,8 @@ def test_pseudonym_query(spark, smoke_dir):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{smoke_dir}/documents.parquet").collect()}
     known = re.compile(r"[\w.]+@[\w.]+\w|(?<!\w)\d{16}(?!\w)|\+1 \(\d{3}\) \d{3}-\d{4}")
     for r in op9_pseudonyms(spark, smoke_dir).collect():
-        assert not [x for x in known.findall(texts[r.doc_id]) if x in r.text]
+        valid = [x for x in known.findall(texts[r.doc_id]) if not x.isdigit() or pii.luhn_digit(x[:-1]) == x[-1]]
+        assert not [x for x in valid if x in r.text]
 
 
 # -- rules -------------------------------------------------------------------------------------
