@@ -133,3 +133,21 @@ def importance_prune(spark, d):
     train, _ = listing_pair(spark, d)
     out = X.prune_by_importance(_importance_long(train))
     return out.select("feature", r6("importance").alias("importance"), "keep")
+
+
+@query("polynomial_features", with_listing("""
+select _id, round("sum" * "sum", 6) as sum_sq, round(min_days * min_days, 6) as days_sq, round("sum" * min_days, 6) as sum_days from train"""))
+def polynomial_features(spark, d):
+    """squares and products of two columns."""
+    train, _ = listing_pair(spark, d)
+    out = X.polynomial(train.select("_id", "sum", "min_days"), ["sum", "min_days"])
+    return out.select("_id", r6("`sum^2`").alias("sum_sq"), r6("`min_days^2`").alias("days_sq"), r6("`sum*min_days`").alias("sum_days"))
+
+
+@query("aligned_features", with_listing("""
+select _id, 'train' as split, host_name, location_cluster, lat, lon, type_house, "sum", min_days, amt_reviews, avg_reviews, total_host from train
+union all select _id, 'test', host_name, location_cluster, lat, lon, type_house, "sum", min_days, amt_reviews, avg_reviews, total_host from test"""))
+def aligned_features(spark, d):
+    """both splits cut to the usable columns they share, in train order."""
+    train, test = X.align_features(*listing_pair(spark, d))
+    return train.drop("target").withColumn("split", F.lit("train")).unionByName(test.withColumn("split", F.lit("test")))

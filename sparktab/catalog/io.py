@@ -8,6 +8,7 @@ from sparktab.catalog.registry import query
 from sparktab.operators import events as L
 from sparktab.sources import files as IO
 from sparktab.sources.eventlog import event_log
+from sparktab.sources.listing import listing_pair, with_listing
 from sparktab.sources.tables import table
 
 
@@ -39,3 +40,28 @@ def report_roundtrip(spark, d):
     back = IO.load_report(spark, path, "phase_durations", "phase string, seq long, duration_s double, run string")
     return back.groupBy("phase").agg(F.count(F.lit(1)).alias("ends"), F.round(F.sum("duration_s"), 4).alias("total_s"))
 
+
+
+@query("pair_roundtrip", with_listing("""
+select 'train' as split, count(*) as n, cast(sum(_id) as bigint) as ids, round(sum(target), 4) as target from train
+union all select 'test', count(*), cast(sum(_id) as bigint), cast(null as double) from test"""))
+def pair_roundtrip(spark, d):
+    """Both splits written as a train / test folder and read back as a pair."""
+    path = IO.scratch_path(spark, "pair")
+    for name, df in zip(("train", "test"), listing_pair(spark, d)):
+        df.write.parquet(f"{path}/{name}.parquet")
+    train, test = IO.read_pair(spark, path)
+    rows = train.select(F.lit("train").alias("split"), "_id", "target").unionByName(
+        test.select(F.lit("test").alias("split"), "_id"), allowMissingColumns=True)
+    return rows.groupBy("split").agg(F.count(F.lit(1)).alias("n"), F.sum("_id").alias("ids"), F.round(F.sum("target"), 4).alias("target"))
+
+
+@query("kb_append", r"""
+select doc_id, md5(text) as digest from documents where doc_id % 2 = 0
+union all select doc_id, md5(t) from (
+  select doc_id, regexp_replace(text, '^\s+|\s+$', '', 'g') as t from documents where doc_id % 2 = 1) where length(t) > 0""")
+def kb_append(spark, d):
+    """The odd documents, padded with blanks, appended to a knowledge base of the even ones."""
+    docs = table(spark, d, "documents").select("doc_id", "text")
+    odd = docs.where("doc_id % 2 = 1").withColumn("text", F.concat(F.lit(" \t"), "text", F.lit("\n ")))
+    return IO.add_documents(docs.where("doc_id % 2 = 0"), odd).select("doc_id", F.md5("text").alias("digest"))

@@ -19,23 +19,12 @@ from sparktab.sources.listing import listing_pair, with_listing
 from sparktab.sources.predictions import predictions, with_predictions
 
 LEARNERS = {"linear": {}, "rf": {"n_estimators": 20, "max_depth": 6}}
-FAST_GROUPS = {"geo_features": {"enabled": True, "n_clusters": 8}, "text_features": {"enabled": True,
-               "n_components": 5, "max_features": 200}}
-
-
-_RUNS: dict = {}
 
 
 def _run(spark, d):
-    """One train-and-predict run per (session, data folder), shared by the queries that read its
-    outputs; its feature frames are checkpointed, so the reuse holds no long lineage."""
-    key = (id(spark), spark.sparkContext.applicationId, d)
-    if key not in _RUNS:
-        train, test = listing_pair(spark, d)
-        fp = FeaturePlan(geo_n_init=2)
-        fp.groups.update(FAST_GROUPS)
-        _RUNS[key] = train_and_predict(train, test, LEARNERS, features=fp)
-    return _RUNS[key]
+    """One train-and-predict run at the default feature settings."""
+    train, test = listing_pair(spark, d)
+    return train_and_predict(train, test, LEARNERS)
 
 
 @query("train_oof")
@@ -69,7 +58,7 @@ def random_search(spark, d):
     feats = ["lat", "lon", "sum", "min_days", "amt_reviews", "avg_reviews", "total_host"]
     space = {"reg_lambda": {"type": "float", "low": 1e-4, "high": 10.0, "log": True},
              "reg_alpha": {"type": "float", "low": 0.0, "high": 1.0}}
-    return M.random_search(tr, "linear", space, feats, te_cols=["location_cluster"], n_trials=4)
+    return M.random_search(tr, "linear", space, feats, te_cols=["location_cluster"])
 
 
 @query("inverse_mse_blend", with_predictions("""

@@ -93,3 +93,13 @@ def duplicate_rows(spark, d):
     """Repeated document texts per language (digest-keyed shuffle)."""
     docs = table(spark, d, "documents")
     return P.duplicate_rows(docs, ["text"], by=["lang"])
+
+
+@query("missing_summary", with_listing(" union all ".join(
+    f"select '{c}' as column_name, count(*) - count(\"{c}\") as null_count, "
+    f"round(100.0 * (count(*) - count(\"{c}\")) / count(*), 2) as null_pct from train having count(*) > count(\"{c}\")"
+    for c in LISTING_COLUMNS)))
+def missing_summary(spark, d):
+    """Train columns with missing values."""
+    train, _ = listing_pair(spark, d)
+    return P.missing_summary(train).select("column_name", "null_count", "null_pct")

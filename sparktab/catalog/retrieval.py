@@ -45,15 +45,15 @@ dn as (select vec_id, list_transform(v, lambda x: x / sqrt(list_sum(list_transfo
 
 
 @query("cosine_topk", _VEC_SQL + """
-, s as (select label as query_id, vec_id as doc_id, round(list_dot_product(q, v), 6) as score from qn, dn)
-select query_id, doc_id, score, cast(rank as int) as rank from (
+, s as (select label as query_id, vec_id as doc_id, list_dot_product(q, v) as score from qn, dn)
+select query_id, doc_id, round(score, 6) as score, cast(rank as int) as rank from (
   select *, row_number() over (partition by query_id order by score desc, doc_id) as rank from s) where rank <= 5""")
 def cosine_topk(spark, d):
     """Exact cosine top-5 of every embedding for each label-centroid query."""
     e = _emb(spark, d)
     q = R.centroids(e, "embedding", "label")
     return R.topk_inner_product(e, "vec_id", "embedding", q, "label", "embedding", k=5).select(
-        "query_id", "doc_id", "score", "rank")
+        "query_id", "doc_id", F.round("score", 6).alias("score"), "rank")
 
 
 _KB_SQL = _VEC_SQL.replace("from embeddings)", "from embeddings join documents on vec_id = doc_id)") + """
@@ -62,7 +62,7 @@ _KB_SQL = _VEC_SQL.replace("from embeddings)", "from embeddings join documents o
 
 
 @query("context_blocks", _KB_SQL + """
-, s as (select label as query_id, vec_id as doc_id, round(list_dot_product(q, v), 6) as score from qn, dn)
+, s as (select label as query_id, vec_id as doc_id, list_dot_product(q, v) as score from qn, dn)
 , h as (select * from (select *, row_number() over (partition by query_id order by score desc, doc_id) as rank from s) where rank <= 5)
 select query_id as label, '=== Relevant Domain Knowledge ===' || chr(10)
   || string_agg('[' || cast(rank as varchar) || '] (' || coalesce(topic, 'general') || ') ' || text, chr(10) order by rank)
@@ -92,7 +92,7 @@ def _roles_sql():
 
 @query("role_context", with_listing(", " + _KB_SQL.strip()[len("with "):]) + f"""
 , roles as ({_roles_sql()})
-, s as (select label, vec_id as doc_id, round(list_dot_product(q, v), 6) as score from qn, dn)
+, s as (select label, vec_id as doc_id, list_dot_product(q, v) as score from qn, dn)
 , h as (select * from (select *, row_number() over (partition by label order by score desc, doc_id) as rank from s) where rank <= 3)
 , rh as (select role, query_pos, rank, h.doc_id, score, topic, text from roles join h using (label) join kb using (doc_id))
 , f as (select role, text, arg_min(query_pos, (query_pos, rank)) as query_pos, arg_min(rank, (query_pos, rank)) as rank,

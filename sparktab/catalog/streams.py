@@ -76,7 +76,7 @@ def stream_score(spark, d):
 
 
 @query("stream_guard", """
-with k as (select user_id, event_type, arg_min(value, event_id) as value from events group by 1, 2)
+with k as (select event_id, arg_min(value, ts) as value from events group by 1)
 select cast(0 as bigint) as batch_id, * from (select unnest([
   {'check': 'rows', 'value': count(*)::double, 'ok': count(*) > 0},
   {'check': 'null_values', 'value': (count(*) filter (where value is null or isnan(value)))::double,

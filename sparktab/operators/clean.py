@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 
 from sparktab.functions.scalar import clip
 from sparktab.operators.ordering import running_last
-from sparktab.operators.profile import NUMERIC, quantiles
+from sparktab.operators.profile import NUMERIC, quantiles, row_text
 
 PROTECTED = ("_id", "target")
 
@@ -47,7 +47,12 @@ def cast_expr(df: DataFrame, c: str, kind: str, int_ok: bool = True, null_as_tex
             return x
         return F.try_to_timestamp(x.cast("string"))
     if kind == "int":
-        return x.cast("string").try_cast("double").cast("bigint") if int_ok else x
+        if not int_ok or isinstance(df.schema[c].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+            return x.cast("bigint") if int_ok else x
+        if isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType, T.DecimalType)):
+            return x.try_cast("bigint")
+        # decimals hold every bigint exactly; what is out of range becomes null
+        return F.trim(x.cast("string")).try_cast("decimal(38,10)").try_cast("bigint")
     if kind == "float":
         return x.cast("string").try_cast("double")
     if kind in ("str", "category"):
@@ -117,7 +122,8 @@ def modes(df: DataFrame, cols: list[str], with_default: bool = True) -> dict:
 
 
 def fill_expr(df: DataFrame, c: str, v) -> Column:
-    """``coalesce(c, v)`` with the fill cast to the column type; strings never fill typed columns."""
+    """``coalesce(c, v)`` with the fill cast to the column type; strings never fill typed columns.  A
+    fractional fill (the mean or median of whole numbers) turns a whole-number column to double."""
     x = F.col(c)
     if v is None:
         return x
@@ -125,6 +131,9 @@ def fill_expr(df: DataFrame, c: str, v) -> Column:
         return x
     if is_numeric(df, c) and isinstance(v, str):
         return F.coalesce(x, F.lit(v).try_cast(df.schema[c].dataType.simpleString()))
+    if isinstance(v, float) and not v.is_integer() and isinstance(
+            df.schema[c].dataType, (T.ByteType, T.ShortType, T.IntegerType, T.LongType)):
+        return F.coalesce(x.cast("double"), F.lit(v))
     return F.coalesce(x, F.lit(v).cast(df.schema[c].dataType))
 
 
@@ -202,20 +211,21 @@ def fit_iqr(df: DataFrame, cols: list[str], factor: float = 1.5) -> dict:
 
 
 def keep_first(df: DataFrame, cols: list[str], order_col: str) -> DataFrame:
-    """One row per distinct ``cols`` value - the first in ``order_col`` order.
+    """One row per distinct ``cols`` value - the first in ``order_col`` order; of rows tied on it,
+    the one with the smallest row digest.
 
-    The group key is a SHA-256 digest + length of the canonical JSON, so the shuffle moves 40 bytes
-    per row rather than whole texts; ``min_by`` keeps the partial aggregate small for hot groups.
+    Groups go by a SHA-256 digest + length of the lossless row text; ``min_by`` leaves one row per
+    group and task before the shuffle, so hot groups stay small.
     """
-    canon = F.to_json(F.struct(*[F.col(c) for c in cols]))
-    keyed = df.select("*", F.sha2(canon, 256).alias("_h"), F.length(canon).alias("_l"))
-    first = keyed.groupBy("_h", "_l").agg(F.min(order_col).alias(order_col))
-    return df.join(first.select(order_col), order_col, "left_semi")
+    canon = row_text(cols)
+    keyed = df.select(F.sha2(canon, 256).alias("_h"), F.length(canon).alias("_l"), F.struct("*").alias("_row"),
+                      F.struct(F.col(order_col), F.sha2(row_text(df.columns), 256)).alias("_o"))
+    return keyed.groupBy("_h", "_l").agg(F.min_by("_row", "_o").alias("_row")).select("_row.*")
 
 
 def raise_on_errors(checks: DataFrame) -> DataFrame:
     """Fail the run when an error-severity check failed (warnings pass through); returns ``checks``."""
-    bad = checks.where((F.col("severity") == "error") & ~F.col("ok")).limit(20).collect()  # at most 20 rows
+    bad = checks.where((F.col("severity") == "error") & ~F.col("ok")).collect()  # one row per failed check
     if bad:
         raise ValueError("cleaning checks failed: " + "; ".join(f"{r['check']}={r['value']}" for r in bad))
     return checks

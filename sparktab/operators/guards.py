@@ -75,11 +75,11 @@ def validate_features(df: DataFrame, dataset: str = "features", max_features: in
     num = [c for c in feats if _is_num(df, c)]
     aggs = [F.count(F.lit(1)).alias("_n")]
     for i, c in enumerate(feats):
-        aggs.append(F.count(F.col(c)).alias(f"_nn_{i}"))
+        aggs.append((F.count(F.when(~F.isnan(c), F.col(c))) if _is_float(df, c) else F.count(F.col(c))).alias(f"_nn_{i}"))
     for i, c in enumerate(num):
         x = F.col(c).cast("double")
-        fin = F.when(~F.isnan(x) & (F.abs(x) != F.lit(float("inf"))), x)
-        aggs += [F.min(fin).alias(f"_mn_{i}"), F.max(fin).alias(f"_mx_{i}"),
+        known = F.when(~F.isnan(x), x)  # infinities are values like any other
+        aggs += [F.min(known).alias(f"_mn_{i}"), F.max(known).alias(f"_mx_{i}"),
                  F.count_if(F.abs(x) == F.lit(float("inf"))).alias(f"_inf_{i}")]
     a = df.agg(*aggs)
     const = reduce(lambda x, y: x + y, [F.when(F.coalesce(F.col(f"_mn_{i}") == F.col(f"_mx_{i}"), F.lit(True)), 1).otherwise(0)
@@ -159,7 +159,7 @@ def guard(checks: list[DataFrame], on_fail: str = "collect") -> DataFrame:
     """Union the check tables; ``raise`` fails on any failed check (one small collect of failures)."""
     out = reduce(lambda x, y: x.unionByName(y), checks)
     if on_fail == "raise":
-        bad = out.where(~F.col("ok")).limit(20).collect()
+        bad = out.where(~F.col("ok")).collect()  # one row per failed check
         if bad:
             raise ValueError("guard failed: " + "; ".join(f"{r['dataset']}:{r['check']}={r['value']}" for r in bad))
     return out

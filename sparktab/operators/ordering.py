@@ -9,15 +9,19 @@ window is used: the bound is proven.  Above it:
   samples its input, and a shuffled input has no fixed order, so two evaluations could cut
   partitions differently; the numbered rows are therefore materialised once with a reliable
   ``checkpoint`` (the shared ``spark.checkpoint.dir``) before counts and numbers are read.
-* ``running_last`` / ``prefix_sum`` cut each group into key-range blocks (a deterministic function
-  of the key, so retried tasks rebuild the same blocks); each block runs a streaming window, and
+* ``running_last`` / ``prefix_sum`` cut each group into key-range blocks at approximate quantiles of
+  the key (fixed numbers, so retried tasks rebuild the same blocks); each block runs a streaming window, and
   the edge value / total of every earlier block arrives through a table with one row per block.
 """
 
 from __future__ import annotations
 
+import math
+
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sparktab.operators.joins import attach
 from sparktab.session import ensure_checkpoint_dir
@@ -61,6 +65,30 @@ def global_index(df: DataFrame, order_cols: list[str], index_col: str = "index",
                .drop("_pid", "_mid", "_min", "_off"))
 
 
+def _with_key_blocks(df: DataFrame, order_col: str, n: int) -> DataFrame:
+    """Add ``_blk``: which of about ``n`` equal-count ranges of ``order_col`` a row falls in.
+
+    The cuts are approximate quantiles, fixed on the driver (``n - 1`` numbers), so a skewed key does
+    not fill one block and a retried task cuts alike.  Times count in microseconds, strings by their
+    first six bytes; null keys come before all others (block -1).
+    """
+    kind = df.schema[order_col].dataType
+    k = F.col(order_col)
+    if isinstance(kind, T.TimestampNTZType):
+        k = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), k)
+    elif isinstance(kind, T.TimestampType):
+        k = F.unix_micros(k)
+    elif isinstance(kind, T.DateType):
+        k = F.unix_date(k)
+    elif isinstance(kind, T.StringType):
+        k = F.conv(F.rpad(F.hex(F.substring(F.encode(k, "UTF-8"), 1, 6)), 12, "0"), 16, 10)
+    s = df.withColumn("_num", k.cast("double"))
+    cuts = s.agg(F.percentile_approx("_num", [i / n for i in range(1, n)] or [0.5], 100 * n).alias("q")).first()["q"] or []
+    cuts = sorted({c for c in cuts if c is not None and math.isfinite(c)})
+    s = Bucketizer(splits=[-math.inf, *cuts, math.inf], inputCol="_num", outputCol="_blk", handleInvalid="keep").transform(s)
+    return s.withColumn("_blk", F.when(F.col("_num").isNull(), -1).otherwise(F.col("_blk")).cast("int")).drop("_num")
+
+
 def running_last(df: DataFrame, values: dict, order_col: str, group_cols=(), inclusive: bool = True,
                  reverse: bool = False, n_blocks: int | None = None) -> DataFrame:
     """Add, per name in ``values``, the last non-null value of that expression among the rows before
@@ -81,19 +109,13 @@ def running_last(df: DataFrame, values: dict, order_col: str, group_cols=(), inc
         w = Window.partitionBy(*group_cols).orderBy(ordk).rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
         return df.withColumns({nm: F.last(e, True).over(w) for nm, e in values.items()})
     n = n_blocks or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    mm = df.agg(F.min(order_col).alias("lo"), F.max(order_col).alias("hi")).first()
-    if mm["lo"] is None:
-        return df.withColumns({name: F.lit(None) for name in values})
-    lo, hi = float(mm["lo"]), float(mm["hi"])
-    width = max((hi - lo) / n, 1e-300)
-    blk = F.least(F.floor((k.cast("double") - F.lit(lo)) / F.lit(width)), F.lit(n - 1)).cast("int")
-    s = df.withColumn("_blk", blk).withColumns({f"_v_{nm}": e for nm, e in values.items()})
+    s = _with_key_blocks(df, order_col, n).withColumns({f"_v_{nm}": e for nm, e in values.items()})
     w_in = Window.partitionBy(*group_cols, "_blk").orderBy(ordk).rowsBetween(
         Window.unboundedPreceding, 0 if inclusive else -1)
     s = s.select("*", *[F.last(f"_v_{nm}", True).over(w_in).alias(f"_in_{nm}") for nm in values])
     edge = F.min_by if reverse else F.max_by
     carry = s.groupBy(*group_cols, "_blk").agg(
-        *[edge(F.col(f"_v_{nm}"), F.when(F.col(f"_v_{nm}").isNotNull(), k)).alias(f"_e_{nm}") for nm in values])
+        *[edge(F.col(f"_v_{nm}"), F.when(F.col(f"_v_{nm}").isNotNull(), F.struct(k))).alias(f"_e_{nm}") for nm in values])
     bord = F.col("_blk").desc() if reverse else F.col("_blk").asc()
     wb = Window.partitionBy(*group_cols).orderBy(bord).rowsBetween(Window.unboundedPreceding, -1)
     carry = carry.select(*group_cols, "_blk", *[F.last(f"_e_{nm}", True).over(wb).alias(f"_p_{nm}") for nm in values])
@@ -114,12 +136,7 @@ def prefix_sum(df: DataFrame, order_col: str, value_col: str, out_col: str = "cu
         w = Window.partitionBy(*group_cols).orderBy(k).rowsBetween(Window.unboundedPreceding, 0)
         return df.withColumn(out_col, F.sum(value_col).over(w))
     n = n_blocks or 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    mm = df.agg(F.min(order_col).alias("lo"), F.max(order_col).alias("hi")).first()
-    if mm["lo"] is None:
-        return df.withColumn(out_col, F.lit(None).cast("bigint"))
-    lo, hi = float(mm["lo"]), float(mm["hi"])
-    width = max((hi - lo) / n, 1e-300)
-    s = df.withColumn("_blk", F.least(F.floor((k.cast("double") - F.lit(lo)) / F.lit(width)), F.lit(n - 1)).cast("int"))
+    s = _with_key_blocks(df, order_col, n)
     w_in = Window.partitionBy(*group_cols, "_blk").orderBy(k).rowsBetween(Window.unboundedPreceding, 0)
     s = s.withColumn("_in", F.sum(value_col).over(w_in))
     tot = s.groupBy(*group_cols, "_blk").agg(F.sum(value_col).alias("_t"))

@@ -16,7 +16,7 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -205,12 +205,16 @@ def constant_and_high_cardinality(df: DataFrame, max_card: int = 50) -> DataFram
 
 
 def schema_diff(left: DataFrame, right: DataFrame, names=("train", "test")) -> DataFrame:
-    """(column, side) for columns present on one side only, read from each side's profile."""
-    a = column_stats(left).select("column_name", F.lit(True).alias("_a"))
-    b = column_stats(right).select("column_name", F.lit(True).alias("_b"))
-    j = a.join(b, "column_name", "full_outer")
-    return j.where(F.col("_a").isNull() | F.col("_b").isNull()).select(
-        "column_name", F.when(F.col("_b").isNull(), F.lit(f"{names[0]}_only")).otherwise(F.lit(f"{names[1]}_only")).alias("side"))
+    """(column, side) for columns present on one side only.  The schemas tell; no row is read."""
+    rows = [(c, f"{names[0]}_only") for c in left.columns if c not in right.columns]
+    rows += [(c, f"{names[1]}_only") for c in right.columns if c not in left.columns]
+    return left.sparkSession.createDataFrame(rows, "column_name string, side string")
+
+
+def row_text(cols: list[str]) -> Column:
+    """Lossless text of a row: JSON with times to the microsecond (nulls are absent fields)."""
+    micros = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
+    return F.to_json(F.struct(*[F.col(c) for c in cols]), {"timestampNTZFormat": micros, "timestampFormat": micros + "XXX"})
 
 
 def duplicate_rows(df: DataFrame, cols: list[str] | None = None, by: list[str] | None = None) -> DataFrame:
@@ -221,7 +225,7 @@ def duplicate_rows(df: DataFrame, cols: list[str] | None = None, by: list[str] |
     """
     cols = cols or df.columns
     by = by or []
-    canon = F.to_json(F.struct(*[F.col(c) for c in cols]))
+    canon = row_text(cols)
     g = (df.select(*by, F.sha2(canon, 256).alias("_h"), F.length(canon).alias("_l"))
            .groupBy(*by, "_h", "_l").agg(F.count(F.lit(1)).alias("_c")))
     return g.groupBy(*by).agg(F.sum("_c").alias("n_rows"), F.sum(F.col("_c") - 1).alias("n_duplicates"))

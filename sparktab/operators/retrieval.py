@@ -33,14 +33,14 @@ def centroids(df: DataFrame, vec_col: str, group_col: str) -> DataFrame:
     return g.select(group_col, F.transform("s", lambda e: e["x"]).alias(vec_col))
 
 
-def _score_batches(q_ids: np.ndarray, q_mat: np.ndarray, k: int, digits: int):
+def _score_batches(q_ids: np.ndarray, q_mat: np.ndarray, k: int):
     def run(batches):
         for pdf in batches:
             if pdf.empty:
                 continue
             ids = pdf["doc_id"].to_numpy()
             d = np.stack([np.asarray(v, dtype=np.float64) for v in pdf["vec"].to_numpy()])
-            s = np.round(d @ q_mat.T, digits)  # (docs, queries)
+            s = d @ q_mat.T  # (docs, queries)
             kk = min(k, len(ids))
             rows_q, rows_d, rows_s = [], [], []
             for j in range(q_mat.shape[0]):
@@ -55,10 +55,10 @@ def _score_batches(q_ids: np.ndarray, q_mat: np.ndarray, k: int, digits: int):
 
 
 def topk_inner_product(docs: DataFrame, doc_id: str, doc_vec: str, queries: DataFrame, query_id: str,
-                       query_vec: str, k: int = 5, digits: int = 6, normalize: bool = True) -> DataFrame:
+                       query_vec: str, k: int = 5, normalize: bool = True) -> DataFrame:
     """(query_id, doc_id, score, rank) - the k highest inner products per query.
 
-    Scores are rounded to ``digits`` before ranking; ties go to the smaller doc id.
+    The unrounded score decides the rank; exact ties go to the smaller doc id.
     """
     spark = docs.sparkSession
     qv = unit(F.col(query_vec)) if normalize else F.col(query_vec)
@@ -78,7 +78,7 @@ def topk_inner_product(docs: DataFrame, doc_id: str, doc_vec: str, queries: Data
             break
         ids = np.array([r["query_id"] for r in chunk])
         mat = np.array([r["vec"] for r in chunk], dtype=np.float64)
-        cand = d.mapInPandas(_score_batches(ids, mat, k, digits),
+        cand = d.mapInPandas(_score_batches(ids, mat, k),
                              f"query_id {qid_type}, doc_id long, score double")
         parts.append(cand)
         if len(chunk) < per_chunk:

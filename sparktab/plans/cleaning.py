@@ -8,6 +8,7 @@ Single order (one frame): drop -> impute -> rename -> parse dates -> dedupe -> c
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from typing import ClassVar
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,14 +37,23 @@ class CleaningPlan:
     drop_duplicates: bool = False
     dtypes: dict = field(default_factory=dict)
 
+    #: Keys of the tools form, by the field that they fill.
+    ALIASES: ClassVar[dict] = {"impute": "imputation", "drop_cols": "drop_columns", "rename_cols": "rename", "cast": "dtypes"}
+
     @classmethod
     def from_dict(cls, d: dict) -> "CleaningPlan":
-        known = {k: d[k] for k in cls.__dataclass_fields__ if k in d}
-        if "clip" in d:
-            known["outlier_handling"] = {c: {"method": "clip", **s} for c, s in d["clip"].items()}
-        if "impute" in d:
-            known["imputation"] = d["impute"]
-        return cls(**known)
+        """From a plan in the agent form (the field names) or the tools form (``ALIASES``, ``clip``)."""
+        plan = {}
+        for key, value in d.items():
+            name = cls.ALIASES.get(key, key)
+            if key == "clip":
+                name, value = "outlier_handling", {c: {"method": "clip", **s} for c, s in value.items()}
+            if name not in cls.__dataclass_fields__:
+                raise ValueError(f"unknown cleaning step {key!r}")
+            if name in plan:
+                raise ValueError(f"cleaning step {name!r} is given twice")
+            plan[name] = value
+        return cls(**plan)
 
     # ---- pair order -------------------------------------------------------------------
     def _convert(self, df: DataFrame, int_ok: set) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -90,23 +91,34 @@ def _pair_fn(timeout_s: float):
             state.remove()
             yield pd.DataFrame([{"phase": phase, "seq": s_seq, "start_us": s_us, "end_us": None, "status": "timeout"}])
             return
-        rows = []
-        for pdf in pdfs:
-            for r in pdf.sort_values("seq").itertuples(index=False):
-                if r.type == "phase_start":
-                    s_us, s_seq = int(r.us), int(r.seq)
-                else:
-                    rows.append({"phase": phase, "seq": int(r.seq), "start_us": s_us, "end_us": int(r.us),
-                                 "status": r.status})
-                    s_us, s_seq = None, None
+        # the chunks of one micro-batch come in any order: pair over all of them, sorted by sequence
+        ev = pd.concat([pdf[["seq", "us", "type", "status"]] for pdf in pdfs], ignore_index=True).sort_values("seq", ignore_index=True)
+        is_start = (ev["type"] == "phase_start").to_numpy()
+        at = np.arange(len(ev))
+        # before each row: the last start and the last end; -1 stands for the state carried over
+        started = np.concatenate([[-1], np.maximum.accumulate(np.where(is_start, at, -1))[:-1]]) if len(ev) else at
+        ended = np.concatenate([[-2], np.maximum.accumulate(np.where(is_start, -2, at))[:-1]]) if len(ev) else at
+        us = ev["us"].to_numpy(dtype="int64")
+        open_us = np.where(started >= 0, us[np.maximum(started, 0)], -1 if s_us is None else s_us)
+        paired = (started > ended) & ((started >= 0) | (s_us is not None))
+        e = ~is_start
+        if e.any():
+            start = pd.array(open_us[e], dtype="Int64")
+            start[~paired[e]] = pd.NA
+            yield pd.DataFrame({"phase": phase, "seq": ev["seq"].to_numpy(dtype="int64")[e], "start_us": start,
+                                "end_us": pd.array(us[e], dtype="Int64"), "status": ev["status"].to_numpy()[e]})
+        if len(ev):
+            last_start = at[is_start].max(initial=-1)
+            last_end = at[e].max(initial=-2)
+            if last_start > last_end and last_start >= 0:
+                s_us, s_seq = int(us[last_start]), int(ev["seq"][last_start])
+            elif last_end >= 0:
+                s_us, s_seq = None, None
         if s_us is not None:
             state.update((s_us, s_seq))
             state.setTimeoutTimestamp(s_us // 1000 + int(timeout_s * 1000))  # epoch ms, zone-free
         elif state.exists:
             state.remove()
-        if rows:
-            yield pd.DataFrame(rows, columns=["phase", "seq", "start_us", "end_us", "status"]).astype(
-                {"start_us": "Int64", "end_us": "Int64"})
     return fn
 
 
@@ -115,8 +127,8 @@ def stream_phase_pairs(spark: SparkSession, path: str, timeout_s: float = 86400.
     start + ``timeout_s`` and is emitted with status ``timeout``.
 
     Event times travel as epoch microseconds, so timeouts and durations do not depend on the
-    session zone.  Rows of one phase in one micro-batch arrive as Arrow chunks and are consumed
-    chunk by chunk, so a hot phase is streamed through its task, not held whole.
+    session zone.  Rows of one phase in one micro-batch arrive as Arrow chunks in any order; they are
+    sorted together (four narrow columns), so ``maxFilesPerTrigger`` on the stream bounds a task.
     Output: (phase, seq, start_s, end_s, duration_s, status) with the batch pairing's rounding.
     """
     ev = event_log_of(events_stream(spark, path)).where(F.col("type").isin("phase_start", "phase_end"))
@@ -148,9 +160,10 @@ def stream_score(spark: SparkSession, rows_path: str, schema: str, transform) ->
     return spark.read.parquet(out)
 
 
-def stream_guard(spark: SparkSession, path: str, id_cols=("user_id", "event_type"), watermark: str = "1 hour") -> DataFrame:
-    """Duplicates within the watermark dropped, then every micro-batch validated; the check rows
-    of all batches are appended to one table (batch_id, check, value, ok)."""
+def stream_guard(spark: SparkSession, path: str, id_cols=("event_id",), watermark: str = "1 hour") -> DataFrame:
+    """Repeated events within the watermark dropped, then every micro-batch validated: rows
+    (batch_id, check, value, ok).  A batch owns its folder, so a batch that runs again after a failure
+    replaces what it wrote."""
     ev = events_stream(spark, path, max_files_per_trigger=1).withColumn("et", event_time()).withWatermark("et", watermark)
     dedup = ev.dropDuplicatesWithinWatermark(list(id_cols))
     base = scratch_path(spark, "x4")
@@ -163,9 +176,10 @@ def stream_guard(spark: SparkSession, path: str, id_cols=("user_id", "event_type
                                            for c in ("rows", "null_values", "negative_values")])))
         long = long.select(F.lit(batch_id).cast("long").alias("batch_id"), "check", "value",
                            F.when(F.col("check") == "rows", F.col("value") > 0).otherwise(F.col("value") == 0).alias("ok"))
-        long.write.mode("append").parquet(checks_path)
+        long.write.mode("overwrite").parquet(os.path.join(checks_path, f"batch-{batch_id}"))
 
     q = (dedup.writeStream.foreachBatch(validate).option("checkpointLocation", os.path.join(base, "checkpoint"))
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.schema("batch_id long, check string, value double, ok boolean").parquet(checks_path)
+    return (spark.read.schema("batch_id long, check string, value double, ok boolean")
+            .option("recursiveFileLookup", "true").parquet(checks_path))
