@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from sparktab.catalog.features import _VAR, _importance_long, _imp_sql
 from sparktab.catalog.registry import query
+from sparktab.session import materialised
 from sparktab.operators import evaluate as V
 from sparktab.sources.listing import listing_pair
 from sparktab.sources.predictions import predictions, with_predictions
@@ -54,7 +55,7 @@ select algo, n, round(mean, 6) as mean, round(std, 6) as std, round(min, 6) as m
   round(jb, 6) as jb, round(exp(-jb / 2), 6) as jb_p, exp(-jb / 2) > 0.05 as normal from j"""))
 def residual_stats(spark, d):
     """Residual distribution per model and the Jarque–Bera normality test."""
-    return V.residual_stats(predictions(spark, d))
+    return V.residual_stats(materialised(predictions(spark, d)))
 
 
 @query("jarque_bera", with_predictions(_RES + """
@@ -142,7 +143,7 @@ def paired_t_pvalue(spark, d):
                                             + _pair_sql("se", "se", "_id")))
 def row_error_t_stat(spark, d):
     """Paired t statistic on row-level squared errors for every model pair."""
-    return V.compare_row_errors(predictions(spark, d), with_p=False)
+    return V.compare_row_errors(materialised(predictions(spark, d)), with_p=False)
 
 
 @query("model_comparison", with_predictions(", se as (select _id, algo, (target - prediction) * (target - prediction) as se from preds)"

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparktab.catalog.registry import query
+from sparktab.session import materialised
 from sparktab.operators import features as X
 from sparktab.operators import guards as G
 from sparktab.sources.listing import LISTING_COLUMNS, listing, listing_pair, with_listing
@@ -86,7 +87,7 @@ def _g3_sql(a):
 @query("guard_predictions", with_predictions(" union all ".join(_g3_sql(a) for a in ALGOS)))
 def guard_predictions(spark, d):
     """Prediction checks per model with bounds [0, 600] and the expected length of the train split."""
-    p = predictions(spark, d)
+    p = materialised(predictions(spark, d))
     train, _ = listing_pair(spark, d)
     n = train.select(F.count(F.lit(1))).scalar()
     return G.guard([G.validate_predictions(p.where(F.col("algo") == a), dataset=a, lower=0, upper=600, expected_rows=n)

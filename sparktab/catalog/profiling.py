@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from sparktab.catalog.registry import query
+from sparktab.session import materialised
 from sparktab.operators import profile as P
 from sparktab.sources.listing import LISTING_COLUMNS, listing_pair, with_listing
 from sparktab.sources.tables import table
@@ -27,7 +28,7 @@ def _num_sql(c):
 def profile_numeric(spark, d):
     """Pandas-style describe + bias-corrected skew/kurtosis with exact quantiles."""
     train, _ = listing_pair(spark, d)
-    return P.numeric_describe(train, NUM)
+    return P.numeric_describe(materialised(train.select(*NUM)), NUM)
 
 
 def _top_sql(c):

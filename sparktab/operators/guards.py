@@ -37,12 +37,27 @@ def _is_float(df, c):
     return isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType))
 
 
+#: Bytes of a value by type; other types are measured.
+_WIDTHS = {"boolean": 1, "tinyint": 1, "smallint": 2, "int": 4, "date": 4, "float": 4, "bigint": 8, "double": 8,
+           "timestamp": 8, "timestamp_ntz": 8}
+
+
+def _row_bytes(df) -> Column:
+    """Size of a row: fixed widths by type, the bytes of strings, and JSON for nested values."""
+    total = F.lit(sum(_WIDTHS.get(t, 0) for _, t in df.dtypes)).cast("long")
+    for c, t in df.dtypes:
+        if t not in _WIDTHS:
+            x = F.col(c) if t in ("string", "binary") else F.to_json(F.struct(F.col(c)))
+            total = total + F.coalesce(F.octet_length(x), F.lit(0))
+    return total
+
+
 def validate_dataset(df: DataFrame, dataset: str = "data", max_rows: int = 2_000_000, max_cols: int = 500,
                      target_col: str | None = None, id_col: str | None = None, max_mb: float = 500.0) -> DataFrame:
     """G1: row / column bounds, all-null columns, allowed types, numeric target, duplicate ids, size."""
     cols = df.columns
     aggs = [F.count(F.lit(1)).alias("_n"),
-            (F.sum(F.octet_length(F.to_json(F.struct(*[F.col(c) for c in cols])))) / (1024.0 ** 2)).alias("_mb")]
+            (F.sum(_row_bytes(df)) / (1024.0 ** 2)).alias("_mb")]
     aggs += [F.count(F.when(F.col(c).isNotNull() & ~F.isnan(c), F.lit(1)) if _is_float(df, c) else F.col(c))
              .alias(f"_nn_{i}") for i, c in enumerate(cols)]
     a = df.agg(*aggs)

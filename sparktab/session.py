@@ -52,3 +52,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     spark.conf.set("spark.checkpoint.dir", d)
     sc.setCheckpointDir(d)
     return d
+
+
+def materialised(df):
+    """``df`` computed once into the shared checkpoint folder, for jobs that read it several times."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
