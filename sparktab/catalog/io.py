@@ -57,11 +57,11 @@ def pair_roundtrip(spark, d):
 
 
 @query("kb_append", r"""
-select doc_id, md5(text) as digest from documents where doc_id % 2 = 0
+select doc_id, md5(text) as digest from documents where lang = 'en'
 union all select doc_id, md5(t) from (
-  select doc_id, regexp_replace(text, '^\s+|\s+$', '', 'g') as t from documents where doc_id % 2 = 1) where length(t) > 0""")
+  select doc_id, regexp_replace(text, '^\s+|\s+$', '', 'g') as t from documents where lang <> 'en') where length(t) > 0""")
 def kb_append(spark, d):
-    """The odd documents, padded with blanks, appended to a knowledge base of the even ones."""
-    docs = table(spark, d, "documents").select("doc_id", "text")
-    odd = docs.where("doc_id % 2 = 1").withColumn("text", F.concat(F.lit(" \t"), "text", F.lit("\n ")))
-    return IO.add_documents(docs.where("doc_id % 2 = 0"), odd).select("doc_id", F.md5("text").alias("digest"))
+    """The documents of other languages, padded with blanks, appended to an English knowledge base."""
+    docs = table(spark, d, "documents").select("doc_id", "text", "lang")
+    added = docs.where("lang <> 'en'").withColumn("text", F.concat(F.lit(" \t"), "text", F.lit("\n ")))
+    return IO.add_documents(docs.where("lang = 'en'"), added).select("doc_id", F.md5("text").alias("digest"))
