@@ -56,3 +56,22 @@ def hash_sample(df: DataFrame, n: int, id_col: str = "doc_id") -> DataFrame:
     ids = (df.select(F.col(id_col).alias("_id")).filter("_id IS NOT NULL").withColumn("_h", F.xxhash64("_id"))
            .orderBy("_h", "_id").limit(n).select("_id").distinct())
     return df.join(F.broadcast(ids), df[id_col] == F.col("_id"), "left_semi")
+
+
+FILTER_BITS = 1 << 24
+
+
+def maybe_among(df: DataFrame, id_col: str, ids: DataFrame, flag: str = "_maybe") -> DataFrame:
+    """Add ``flag``: false where ``id_col`` is surely not among ``ids`` (one column, same name).
+
+    A hash bitmap of ``FILTER_BITS`` bits, as at most ``FILTER_BITS / 64`` rows of 16 bytes (4 MB), is
+    broadcast whatever the number of ids; with very many ids it only lets more rows through.  It keeps
+    wide rows out of a shuffle that an exact join decides."""
+    def bit(c):
+        return F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
+    words = (ids.select(bit(F.col(id_col)).alias("_b")).groupBy((F.col("_b") / 64).cast("long").alias("_w"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(_b % 64 AS int))")).alias("_bits")))
+    x = df.withColumn("_b", bit(F.col(id_col))).withColumn("_w", (F.col("_b") / 64).cast("long"))
+    x = x.join(F.broadcast(words), "_w", "left")
+    hit = F.expr("shiftrightunsigned(_bits, cast(_b % 64 AS int)) & 1L") == 1
+    return x.withColumn(flag, F.coalesce(hit, F.lit(False))).drop("_b", "_w", "_bits")
