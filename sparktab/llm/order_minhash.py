@@ -35,7 +35,7 @@ KEPT = 3                # shingles per sketch
 SMALL = 12              # buckets up to this size are compared pair by pair
 BLOCK = 256
 BINS = 256
-CACHE_WORDS = 400_000
+CACHE_WORDS = 100_000   # words whose hashes a worker keeps
 
 _M1, _M2, _P = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), 0x100000001B3
 

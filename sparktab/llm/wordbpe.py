@@ -12,7 +12,7 @@ import re
 
 import numpy as np
 
-CACHE_WORDS = 400_000  # words kept per worker; beyond that the cache starts anew
+CACHE_WORDS = 200_000  # words kept per worker; beyond that the later half goes
 
 _COMMON = "\t\n\x0b\x0c\r\x20-\x7e¡¿À-ÖØ-öø-ÿ–—‘’“”…€"
 _LETTER = "a-zß-öø-ÿ"
@@ -50,8 +50,9 @@ class WordIds(dict):
     def encode(self, text: str) -> bytes:
         if ODD.search(text) or any(s in text for s in self.specials):
             return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        if len(self) > CACHE_WORDS:
-            self.clear()
+        if len(self) > CACHE_WORDS:     # the words met first are the common ones
+            for w in list(self)[CACHE_WORDS // 2:]:
+                del self[w]
         return b"".join(map(self.__getitem__, WORDS.findall(text.lower())))
 
 
