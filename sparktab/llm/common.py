@@ -12,6 +12,20 @@ from pyspark.sql import functions as F
 from sparktab.session import ensure_checkpoint_dir
 
 
+BATCH_BYTES = 4 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """Bound the bytes of the Arrow batches that the session hands to Python, so that a batch of long
+    texts does not fill a worker; a smaller setting of the session stays.  Returns ``df``."""
+    conf = df.sparkSession.conf
+    now = conf.get(_BATCH_CONF)
+    if not (now.isdigit() and 0 < int(now) <= BATCH_BYTES):
+        conf.set(_BATCH_CONF, str(BATCH_BYTES))
+    return df
+
+
 def map_arrow(df: DataFrame, inputs: list[Column], schema: str, make: Callable) -> DataFrame:
     """``mapInArrow`` over ``inputs``; ``make()`` runs once per partition on the executor and
     returns ``fn(batch) -> batch | None``.  Empty partitions load no model."""
@@ -23,7 +37,7 @@ def map_arrow(df: DataFrame, inputs: list[Column], schema: str, make: Callable)
                 out = fn(b)
                 if out is not None and out.num_rows:
                     yield out
-    return df.select(*inputs).mapInArrow(run, schema)
+    return bounded(df).select(*inputs).mapInArrow(run, schema)
 
 
 def slices(sizes: list[int], limit: int) -> Iterator[tuple[int, int]]:

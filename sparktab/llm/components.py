@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparktab.llm.common import written
+from sparktab.llm.common import bounded, written
 
 MAX_ROUNDS = 100
 
@@ -86,4 +86,4 @@ def map_groups(df: DataFrame, key: list[str], columns: list[str], schema: str, f
             out = fn(pa.Table.from_batches(held).combine_chunks())
             if out is not None and out.num_rows:
                 yield out
-    return df.select(*columns).repartition(key[0]).sortWithinPartitions(*key).mapInArrow(run, schema)
+    return bounded(df).select(*columns).repartition(key[0]).sortWithinPartitions(*key).mapInArrow(run, schema)

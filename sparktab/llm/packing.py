@@ -23,6 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from sparktab.llm.common import bounded
 from sparktab.llm.wordbpe import word_ids
 
 SCHEMA = ("doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, "
@@ -112,4 +113,4 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, e
         if tokens:
             yield flush()
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, SCHEMA)
+    return bounded(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(run, SCHEMA)

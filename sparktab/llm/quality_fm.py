@@ -21,13 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparktab.llm.common import hash_sample, map_arrow
+from sparktab.llm.common import bounded, hash_sample, map_arrow
 from sparktab.llm.rules import Text
 
 BUCKETS = 1 << 13
 RANK = 6
 TRAIN_ROWS = 4000       # bound of the labelled sample
-CACHE_WORDS = 400_000
+CACHE_WORDS = 100_000   # words whose buckets a worker keeps
 STATS = ("upper", "symbols", "bangs", "pipes", "repeats", "distinct", "adjacent", "dup_lines", "word_length", "stops",
          "digits", "line_length", "capital_words", "size", "bytes")
 
@@ -202,4 +202,4 @@ def keep(docs: DataFrame, model: FactorisationMachine, threshold: float = 0.7, t
         table = model.prepared()
         for b in batches:
             yield b.filter(pa.array([model.score(t, table) >= threshold for t in b.column(at).to_pylist()], pa.bool_()))
-    return docs.mapInArrow(run, docs.schema)
+    return bounded(docs).mapInArrow(run, docs.schema)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparktab.llm.common import hash_sample, map_arrow
+from sparktab.llm.common import bounded, hash_sample, map_arrow
 
 WORD = re.compile("[^\x20\x09-\x0d]+")
 SYMBOLS = "#*$%&|<>"
@@ -150,4 +150,4 @@ def keep(docs: DataFrame, order: list[str], rules: dict = RULES, text_col: str =
                 t = Text(s)
                 good.append(not any(rules[n](t) for n in order))
             yield b.filter(pa.array(good, pa.bool_()))
-    return docs.mapInArrow(run, docs.schema)
+    return bounded(docs).mapInArrow(run, docs.schema)

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparktab.llm.common import hash_sample, map_arrow
+from sparktab.llm.common import bounded, hash_sample, map_arrow
 
 # The named kinds, in their order, with their patterns and least lengths.
 ASSIGN = re.compile(r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]"
@@ -185,4 +185,4 @@ def redact(docs: DataFrame, samples: list[tuple[str, int]], threshold: float = T
             cols = list(b.columns)
             cols[at] = pa.array(out, pa.string())
             yield pa.record_batch(cols, names=b.schema.names)
-    return docs.mapInArrow(run, docs.schema)
+    return bounded(docs).mapInArrow(run, docs.schema)

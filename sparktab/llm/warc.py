@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparktab.llm.common import hash_sample
+from sparktab.llm.common import bounded, hash_sample
 
 # Fixed values of the two formats.
 DICTIONARY_MAGIC = 0x184D2A5D
@@ -225,7 +225,7 @@ def write_archives(records: DataFrame, path: str, dictionary: bytes, date: str =
                                  for p, u, h, r in zip(*(b.column(i).to_pylist() for i in range(4)))]
                 head = []
                 yield pa.record_batch([pa.array(frames, pa.binary())], names=["frame"])
-    frames = records.select("page_id", "url", "html", "refers_to").mapInArrow(run, "frame binary")
+    frames = bounded(records).select("page_id", "url", "html", "refers_to").mapInArrow(run, "frame binary")
     frames.select(F.col("frame").cast("string").alias("value")).write.option("lineSep", SEPARATOR).text(path)
 
 
@@ -258,6 +258,6 @@ def read_archives(spark: SparkSession, path: str, glob: str = "part-*") -> DataF
                 if rows:
                     yield out(rows)
     files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).filter("length > 0")
-    return files.select("path", "content").mapInArrow(
+    return bounded(files).select("path", "content").mapInArrow(
         run, "archive string, offset long, record_type string, page_id long, url string, refers_to long, "
              "payload_bytes long, payload_digest string, payload binary")
