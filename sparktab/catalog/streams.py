@@ -84,7 +84,7 @@ select cast(0 as bigint) as batch_id, * from (select unnest([
   {'check': 'negative_values', 'value': (count(*) filter (where value < 0))::double, 'ok': count(*) filter (where value < 0) = 0}
   ], recursive := true) from k)""")
 def stream_guard(spark, d):
-    """Checks of every micro-batch that carried rows, on the stream deduplicated within the watermark."""
+    """Checks of every micro-batch that carried rows, on the deduplicated stream."""
     checks = S.stream_guard(spark, _events_path(d))
     nonempty = checks.where((F.col("check") == "rows") & (F.col("value") > 0)).select("batch_id")
     return checks.join(nonempty, "batch_id", "left_semi")

@@ -131,3 +131,15 @@ def test_stream_guard_sees_every_event(spark, tmp_path):
     e.unionAll(e.limit(5)).repartition(2).write.parquet(src)
     rows = stream_guard(spark, src).where("check = 'rows'").collect()
     assert sum(r.value for r in rows) == e.count() and os.path.isdir(src)
+
+
+def test_stream_guard_keeps_late_events(spark, tmp_path):
+    from sparktab.streaming.jobs import stream_guard
+    src = str(tmp_path / "events.parquet")
+    e = spark.range(600).selectExpr("id AS event_id", "timestampadd(MINUTE, cast(pmod(id * 7919, 600) * 72 AS int), timestamp_ntz'2024-01-01 00:00:00') AS ts",
+                                    "id % 5 AS user_id", "'click' AS event_type", "if(id % 10 = 0, -1.0D, 1.0D) AS value", "'{}' AS props")
+    shuffled = e.repartition(6, "event_id")
+    shuffled.write.parquet(src)
+    shuffled.limit(50).coalesce(1).write.mode("append").parquet(src)
+    got = stream_guard(spark, src).groupBy("check").agg({"value": "sum"}).collect()
+    assert {r["check"]: r["sum(value)"] for r in got} == {"rows": 600, "null_values": 0, "negative_values": 60}
