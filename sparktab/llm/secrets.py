@@ -2,7 +2,8 @@
 
 Two character Markov chains (order 2, smoothed by the lower orders) are trained from labelled samples: one
 on random strings, one on ordinary identifiers.  A candidate token is a secret where the mean
-log-likelihood ratio per character, random against ordinary, exceeds a threshold.
+log-likelihood ratio per character, random against ordinary, exceeds a threshold.  So is a stretch
+of a token that does alone, whatever ordinary words are joined to it.
 """
 
 from __future__ import annotations
@@ -22,7 +23,10 @@ ASSIGN = re.compile(r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]
 ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{32,}")   # maximal runs, so the least length can stand in the pattern
 KINDS = ("assign", "access", "hex", "random")
-CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
+LEAST = 16              # characters of a candidate, and of a stretch of one
+EDGE = 8                # a shorter rest of a piece goes with the stretch beside it
+CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % LEAST)
+PIECE = re.compile(r"[^=/_-]+")
 ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 
 SAMPLE_DOCS = 8000      # documents that labelled strings are taken from
@@ -62,15 +66,75 @@ class MarkovModel:
         p2 = (seen + weight * p1[:, None]) / (seen.sum(-1, keepdims=True) + weight)
         self.ratio = (np.log(p2[1]) - np.log(p2[0])).tolist()
 
-    def score(self, s: str) -> float:
-        """Mean log-likelihood ratio per character: above 0, random is the likelier source."""
+    def ratios(self, s: str) -> list[float]:
+        """Log-likelihood ratio of each character after the two before it."""
         a = b = self.k
-        total = 0.0
+        out = []
         for c in s:
             i = self.index[c]
-            total += self.ratio[a][b][i]
+            out.append(self.ratio[a][b][i])
             a, b = b, i
-        return total / len(s) if s else 0.0
+        return out
+
+    def score(self, s: str) -> float:
+        """Mean log-likelihood ratio per character: above 0, random is the likelier source."""
+        return sum(self.ratios(s)) / len(s) if s else 0.0
+
+    def stretches(self, s: str, threshold: float) -> list[tuple[int, int]]:
+        """Disjoint stretches of ``s``, at least ``LEAST`` characters each, that score above ``threshold``.
+
+        The whole where it does; else its pieces between separators, and its segments of maximal
+        summed ratio, which find a random string across separators or joined to words without one."""
+        r = self.ratios(s)
+        if len(s) >= LEAST and sum(r) > threshold * len(s):
+            return [(0, len(s))]
+        pieces = [m.span() for m in PIECE.finditer(s)]
+        found = [(x, y) for x, y in pieces if y - x >= LEAST and self.score(s[x:y]) > threshold]
+        for x, y in maximal_segments(r):
+            if y - x >= LEAST and sum(r[x:y]) > threshold * (y - x):
+                x = next((p for p, q in pieces if p < x < q and x - p < EDGE), x)
+                y = next((q for p, q in pieces if p < y < q and q - y < EDGE), y)
+                found.append((x, y))
+        out: list[tuple[int, int]] = []
+        for x, y in sorted(found):
+            if out and x < out[-1][1]:
+                out[-1] = out[-1][0], max(out[-1][1], y)
+            else:
+                out.append((x, y))
+        return out
+
+
+def maximal_segments(values: list[float]) -> list[tuple[int, int]]:
+    """All disjoint segments of maximal positive sum, in linear time (Ruzzo and Tompa 1999)."""
+    held: list[tuple[int, int, float, float]] = []     # start, end, sum before, sum through
+    total = 0.0
+    for i, v in enumerate(values):
+        before, total = total, total + v
+        if v <= 0:
+            continue
+        start, low = i, before
+        while True:
+            j = len(held) - 1
+            while j >= 0 and held[j][2] >= low:
+                j -= 1
+            if j < 0 or held[j][3] >= total:
+                held.append((start, i + 1, low, total))
+                break
+            start, low = held[j][0], held[j][2]
+            del held[j:]
+    return [(x, y) for x, y, _, _ in held]
+
+
+def random_spans(text: str, base: list[tuple[int, int, int]], model: MarkovModel, threshold: float) -> list[tuple[int, int]]:
+    """What the models add to the ``base`` spans: stretches of the candidates, beside those spans."""
+    out = []
+    for m in CANDIDATE.finditer(text):
+        at = m.start()
+        for x, _, y in [z for z in base if z[0] < m.end() and m.start() < z[2]] + [(m.end(), 0, m.end())]:
+            if x - at >= LEAST:
+                out += [(at + p, at + q) for p, q in model.stretches(text[at:x], threshold)]
+            at = max(at, y)
+    return out
 
 
 def labelled_samples(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", sample_docs: int = SAMPLE_DOCS,
@@ -131,8 +195,8 @@ def scan(docs: DataFrame, samples: list[tuple[str, int]], threshold: float = THR
     """Per row: ``doc_id`` and ``found``, an array of (kind, start, end) by start, then kind.
 
     Positions are code points, the end exclusive.  Spans of the fixed patterns always stay; the
-    models add candidates of at least 16 characters that overlap none of them.  Null and empty
-    texts hold nothing.  Null ids and repeated rows stay as they are, other columns are ignored, an
+    models add candidates, or stretches of them, of at least 16 characters that overlap none of
+    them.  Null and empty texts hold nothing.  Null ids and repeated rows stay as they are, other columns are ignored, an
     empty table gives an empty result.  Row-wise: no shuffle; the models are a few hundred kB.
     """
     model = MarkovModel(samples)
@@ -143,12 +207,7 @@ def scan(docs: DataFrame, samples: list[tuple[str, int]], threshold: float = THR
             for t in b.column(1).to_pylist():
                 spans = base_spans(t) if t else []
                 if t:
-                    extra = []
-                    for m in CANDIDATE.finditer(t):
-                        s, e = m.span()
-                        if not any(x < e and s < y for x, _, y in spans) and model.score(m.group()) > threshold:
-                            extra.append((s, 3, e))
-                    spans = sorted(spans + extra)
+                    spans = sorted(spans + [(s, 3, e) for s, e in random_spans(t, spans, model, threshold)])
                 out.append([{"kind": KINDS[k], "start": s, "end": e} for s, k, e in spans])
             kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
             return pa.record_batch([b.column(0), pa.array(out, kind)], names=["doc_id", "found"])
@@ -170,9 +229,8 @@ def redact(docs: DataFrame, samples: list[tuple[str, int]], threshold: float = T
             out = []
             for t in b.column(at).to_pylist():
                 if t:
-                    spans = [(s, e) for s, _, e in base_spans(t)]
-                    spans += [m.span() for m in CANDIDATE.finditer(t)
-                              if not any(x < m.end() and m.start() < y for x, y in spans) and model.score(m.group()) > threshold]
+                    base = base_spans(t)
+                    spans = [(s, e) for s, _, e in base] + random_spans(t, base, model, threshold)
                     merged: list[list[int]] = []
                     for s, e in sorted(spans):
                         if merged and s < merged[-1][1]:

@@ -66,6 +66,40 @@ def test_scan_and_redact(spark):
     assert secrets.scan(df.limit(0), samples).count() == 0
 
 
+def test_secrets_joined_to_words(spark):
+    rng = random.Random(6)
+    alphabet = secrets.ALPHABET[:62]
+    keys = ["".join(rng.choice(alphabet) for _ in range(24)) for _ in range(40)]
+    samples = secrets.generated_samples(["customer", "order", "request", "handler", "value", "services", "session", "authorization"], 600)
+    model = secrets.MarkovModel(samples)
+    found = {k for k in keys if model.score(k) > secrets.THRESHOLD}
+    assert len(found) >= 30
+    forms = ["sessionid={}", "services/customer/request/{}", "authorization/bearer/{}", "customer_{}_handler", "customerRequest{}", "0123456789abcdef" * 2 + "/{}"]
+    texts = [f.format(k) for f in forms for k in keys]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spans = {r.doc_id: r.found for r in secrets.scan(rows, samples).collect()}
+    masked = {r.doc_id: r.text for r in secrets.redact(rows, samples).collect()}
+    for i, t in enumerate(texts):
+        k, f = keys[i % len(keys)], forms[i // len(keys)]
+        if k in found and f != "customerRequest{}":
+            assert any(x.kind == "random" and x.start <= t.index(k) and t.index(k) + 24 <= x.end for x in spans[i]), t
+            assert k not in masked[i]
+    joined = [i for i in spans if i // len(keys) == 4]
+    assert sum(any(x.kind == "random" for x in spans[i]) for i in joined) >= 0.8 * len(joined)
+    plain = secrets.generated_samples(["customer", "order", "request", "handler", "value"], 400, seed=9)
+    assert not any(model.stretches(s, secrets.THRESHOLD) for s, label in plain if label == 0)
+
+
+def test_maximal_segments_by_brute_force():
+    rng = random.Random(2)
+    for _ in range(200):
+        x = [rng.randint(-5, 5) for _ in range(rng.randint(0, 12))]
+        got = secrets.maximal_segments(x)
+        best = max([sum(x[a:b]) for a in range(len(x)) for b in range(a + 1, len(x) + 1)], default=0)
+        assert max([sum(x[a:b]) for a, b in got], default=0) == max(best, 0)
+        assert all(b <= c for (_, b), (c, _) in zip(got, got[1:])) and all(sum(x[a:b]) > 0 for a, b in got)
+
+
 def test_secret_query(spark, smoke_dir):
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{smoke_dir}/documents.parquet").collect()}
     rows = op6_secrets(spark, smoke_dir).collect()
