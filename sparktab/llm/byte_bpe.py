@@ -3,7 +3,8 @@
 Encoding: the distinct words of a slice of texts become token-position rows (word, position, id,
 next position, next id), one row per byte at first.  A recursive query joins them with the merge
 table, finds each word's leftmost pair of minimum rank and contracts it, until no pair of the word
-is in the table.  Decoding: an ordered aggregation over (document, position, id) rows joined with
+is in the table.  It keeps the rows of every round, so after a number of rounds that bounds them it
+stops, and starts anew with the words that are not done.  Decoding: an ordered aggregation over (document, position, id) rows joined with
 the vocabulary.  Both run in one thread on an in-memory database per worker; slices are bounded,
 nothing is spilled to disk, and Spark does the partitioning.
 """
@@ -23,9 +24,11 @@ from sparktab.llm.common import map_arrow, slices
 
 CACHE_WORDS = 300_000   # words, and spaced chunks, kept per worker; beyond that the later half goes
 BATCH_BYTES = 400_000   # bytes of distinct words in one recursive query (a longer word stands alone)
+ROUND_ROWS = 4_000_000  # rows that the rounds of one recursive query may add up to
 SLICE_CHARS = 1 << 21
 
 MERGE_QUERY = """
+CREATE OR REPLACE TEMP TABLE state AS
 WITH RECURSIVE t AS (
     SELECT w, pos, id, npos, nid, 0 AS step FROM seed
     UNION ALL
@@ -42,10 +45,11 @@ WITH RECURSIVE t AS (
             CASE WHEN t.pos = x.pos THEN x.after ELSE t.npos END,
             CASE WHEN t.pos = x.pos THEN x.after_id WHEN t.npos = x.pos THEN x.merged ELSE t.nid END,
             t.step + 1
-     FROM t JOIN x ON t.w = x.w WHERE t.pos <> x.npos))
-SELECT w, list(id ORDER BY pos) AS ids
-FROM t WHERE (w, step) IN (SELECT w, max(step) FROM t GROUP BY w) GROUP BY w
+     FROM t JOIN x ON t.w = x.w WHERE t.pos <> x.npos AND t.step < {rounds}))
+SELECT * FROM t WHERE (w, step) IN (SELECT w, max(step) FROM t GROUP BY w)
 """
+DONE_QUERY = "SELECT w, list(id ORDER BY pos) AS ids FROM state WHERE step < {rounds} GROUP BY w"
+OPEN_QUERY = "CREATE OR REPLACE TEMP TABLE seed AS SELECT w, pos, id, npos, nid FROM state WHERE step = {rounds}"
 
 DECODE_QUERY = """
 SELECT d, sha256(unhex(string_agg(v.hex, '' ORDER BY p))) AS digest
@@ -114,9 +118,15 @@ class ByteBpe:
             self._table("seed", {"w": pa.array(np.repeat(np.arange(len(part)), n), pa.int32()), "pos": pa.array(pos, pa.int32()),
                                  "id": pa.array(ids, pa.int32()), "npos": pa.array(pos + 1, pa.int32()),
                                  "nid": pa.array(nxt, pa.int32())})
-            got = self.con.execute(MERGE_QUERY).fetchnumpy()
-            for w, x in zip(got["w"], got["ids"]):
-                self.cache[words[lo + int(w)]] = np.asarray(x, dtype="<u4").tobytes()
+            rows = len(ids)
+            while rows:
+                rounds = max(1, ROUND_ROWS // rows)
+                self.con.execute(MERGE_QUERY.format(rounds=rounds))
+                got = self.con.execute(DONE_QUERY.format(rounds=rounds)).fetchnumpy()
+                for w, x in zip(got["w"], got["ids"]):
+                    self.cache[words[lo + int(w)]] = np.asarray(x, dtype="<u4").tobytes()
+                self.con.execute(OPEN_QUERY.format(rounds=rounds))
+                (rows,), = self.con.execute("SELECT count(*) FROM seed").fetchall()
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit bytes.
@@ -171,7 +181,7 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str =
     Null and empty texts have no ids and decode to no bytes.  Null ids and repeated rows stay as
     they are, other columns are ignored, an empty table gives an empty result.  Strings of special
     tokens are ordinary text.  Row-wise: no shuffle; a task holds one slice of texts.  A single
-    word of n bytes takes up to n - 1 rounds of the recursion.
+    word of n bytes takes up to n - 1 rounds of the recursion, each over what is left of it.
     """
     def make():
         bpe = byte_bpe(ranks_path, pattern)

@@ -101,6 +101,24 @@ def test_byte_bpe_round_trip(spark, texts):
     assert encode_decode(df.limit(0), RANK_FILE, public_tokenizers.PATTERN).count() == 0
 
 
+def test_byte_bpe_of_long_words():
+    from sparktab.llm import byte_bpe as module
+    rng = random.Random(12)
+    letters = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n)) for n in [1000] * 400 + [20000]]
+    words = letters + ["x" * 20000, "!" * 9000, "日本語" * 2500]
+    b, e = module.ByteBpe(RANK_FILE, public_tokenizers.PATTERN), reference_encoding()
+    for x, ids in zip(words, b.encode(words)):
+        assert np.frombuffer(ids, "<u4").tolist() == e.encode_ordinary(x)
+
+
+def test_byte_bpe_starts_anew(monkeypatch, texts):
+    from sparktab.llm import byte_bpe as module
+    monkeypatch.setattr(module, "ROUND_ROWS", 1)
+    b, e = module.ByteBpe(RANK_FILE, public_tokenizers.PATTERN), reference_encoding()
+    for x, ids in zip(texts[:40], b.encode(texts[:40])):
+        assert np.frombuffer(ids, "<u4").tolist() == e.encode_ordinary(x)
+
+
 def test_byte_bpe_cache_bound(monkeypatch, texts):
     from sparktab.llm import byte_bpe as module
     monkeypatch.setattr(module, "CACHE_WORDS", 20)
