@@ -109,6 +109,16 @@ def test_components_of_chains_stars_and_cliques(spark):
     assert all(got[x] == want[x] for l in links for x in l if l[0] != l[1])
 
 
+def test_components_of_a_shuffled_chain(spark, monkeypatch):
+    from sparktab.llm import components
+    rounds = []
+    write = components.written
+    monkeypatch.setattr(components, "written", lambda df, name: rounds.append(name) or write(df, name))
+    names = [hashlib.md5(str(i).encode()).hexdigest() for i in range(3000)]
+    got = connected_components(spark.createDataFrame(list(zip(names, names[1:])), "a string, b string")).collect()
+    assert {r.id for r in got} == set(names) and {r.component for r in got} == {min(names)} and len(rounds) < 40
+
+
 # -- vectors -----------------------------------------------------------------------------------
 def test_nearest_e8_is_the_nearest():
     rng = np.random.default_rng(0)
