@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparktab.llm import (byte_bpe, lattice_dedup, order_minhash, packing, pii, quality_fm, rules, secrets,
-                          token_counts, warc)
+from sparktab.llm import (best_fit, byte_bpe, collocations, lattice_dedup, order_minhash, packing, pii, quality_fm, rules,
+                          secrets, spelling, token_counts, warc)
 from sparktab.llm.common import shared_folder
 
 PSEUDONYM_KEY = b"example key; a deployment passes its own"
@@ -86,9 +86,21 @@ def op10_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.judge(docs, order).drop("rejected_by")
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_table(spark, sf_dir, "documents"))
+
+
+def op12_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return best_fit.best_fit(_table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"), with_ids=False).drop("ids")
+
+
+def op13_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_warc, op2_lattice_dedup, op3_byte_bpe, op4_packing, op5_quality_fm, op6_secrets, op7_token_counts,
-    op8_order_minhash, op9_pseudonyms, op10_rules)}
+    op8_order_minhash, op9_pseudonyms, op10_rules, op11_collocations, op12_best_fit, op13_spelling)}
 
 ORACLES: dict[str, str] = {
     "op1_warc": """
@@ -133,4 +145,51 @@ ORACLES: dict[str, str] = {
                NOT (base_failed OR 10 * n_symbols > n_words OR 2 * n_dup_lines > n_lines OR 10 * bangs > n_words
                     OR word_chars > 15 * n_words OR word_chars < 2 * n_words) AS kept
         FROM b""",
+    "op11_collocations": r"""
+        WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+                          'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+        w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+        g AS (SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase, w[i:i + m - 1] AS ws
+              FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w), (SELECT unnest([1, 2, 3]) AS m) WHERE i + m - 1 <= len(w)),
+        f AS (SELECT lang, m, phrase, any_value(ws) AS ws, count(*)::BIGINT AS f FROM g GROUP BY lang, m, phrase),
+        n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
+        c AS (SELECT * FROM f WHERE m > 1 AND f >= 10),
+        cuts AS (SELECT c.lang, c.phrase, c.m, c.ws, c.f AS a, k, l.f AS l, r.f AS r,
+                        (1000000::HUGEINT * c.f * c.f) // (l.f::HUGEINT * r.f) AS score
+                 FROM (SELECT *, unnest(range(1, m)) AS k FROM c) c
+                 JOIN f l ON l.lang = c.lang AND l.m = k AND l.phrase = array_to_string(c.ws[1:k], ' ')
+                 JOIN f r ON r.lang = c.lang AND r.m = c.m - k AND r.phrase = array_to_string(c.ws[k + 1:], ' ')),
+        s AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, m, phrase ORDER BY score, k) = 1),
+        inside AS (SELECT lang, part, max(f) AS longer FROM
+                   (SELECT lang, f, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) AS part FROM c WHERE m = 3)
+                   GROUP BY lang, part),
+        kept AS (SELECT s.* FROM s LEFT JOIN inside i ON s.m = 2 AND i.lang = s.lang AND i.part = s.phrase
+                 WHERE i.longer IS NULL OR 100 * i.longer < 50 * s.a),
+        ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept)
+        SELECT lang, rank::BIGINT AS rank, phrase, a, l, r, n, score::BIGINT AS score
+        FROM ranked JOIN n USING (lang) WHERE rank <= 2000""",
+    "op13_spelling": r"""
+        WITH RECURSIVE steps AS (SELECT i, 0 AS s, i::BIGINT AS c FROM range(256) r(i)
+            UNION ALL SELECT i, s + 1, xor(c >> 1, CASE WHEN c & 1 = 1 THEN 3988292384 ELSE 0 END) FROM steps WHERE s < 8),
+        t AS (SELECT list(c ORDER BY i) AS crc FROM steps WHERE s = 8),
+        runs AS (SELECT doc_id, run, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(
+                     translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{C0}-\x{FF}]+')) AS run FROM documents) GROUP BY ALL),
+        x AS (SELECT run, n, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || run)) AS x FROM runs WHERE length(run) >= 6),
+        h AS (SELECT run, n, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, [('0x' || x[2 * i - 1:2 * i])::BIGINT for i in range(1, 1 + length(x) // 2)]),
+                     lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1]))) AS h FROM x, t),
+        words AS (SELECT word, sum(n)::BIGINT AS n FROM (
+                      SELECT n, CASE WHEN h % 199 = 0 THEN run[:h % length(run)] || run[h % length(run) + 2:] ELSE run END AS word FROM h)
+                  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+        cut AS (SELECT word, n, i, word[:i] || '?' || word[i + 2:] AS hole, word[:i] || word[i + 2:] AS short
+                FROM (SELECT word, n, unnest(range(length(word))) AS i FROM words)),
+        pairs AS (SELECT a.word, b.word AS near, b.n AS near_n FROM cut a JOIN cut b ON a.hole = b.hole AND a.word <> b.word
+                  UNION SELECT c.word, w.word, w.n FROM cut c JOIN words w ON w.word = c.short
+                  UNION SELECT w.word, c.word, c.n FROM cut c JOIN words w ON w.word = c.short),
+        best AS (SELECT word, count(*)::BIGINT AS n_near, max(near_n) AS most FROM pairs GROUP BY word),
+        form AS (SELECT w.word, min(p.near) AS form, max(p.near_n) AS form_n FROM words w JOIN best b USING (word)
+                 JOIN pairs p ON p.word = w.word AND p.near_n = b.most WHERE b.most >= 5 * w.n GROUP BY w.word),
+        root AS (SELECT word, word AS root, 0 AS depth FROM words
+                 UNION ALL SELECT r.word, f.form, depth + 1 FROM root r JOIN form f ON f.word = r.root)
+        SELECT w.word, f.form, (SELECT arg_max(root, depth) FROM root r WHERE r.word = w.word) AS root, w.n, coalesce(b.n_near, 0)::BIGINT AS n_near, f.form_n
+        FROM words w LEFT JOIN best b USING (word) LEFT JOIN form f USING (word)""",
 }

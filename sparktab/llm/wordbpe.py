@@ -1,6 +1,6 @@
 """Ids of a word-end BPE tokenizer file (tokenizers JSON), with a cache of word ids per worker.
 
-The library encodes every distinct word; the split into words is a plain regular expression for
+The library encodes every distinct word; chunks between white space are looked up whole.  The split into words is a plain regular expression for
 texts of common Latin characters, where lower-casing and NFC act on single characters.  Any other
 text, and any text that holds a special token's string, goes whole through the library.
 """
@@ -9,10 +9,12 @@ from __future__ import annotations
 
 import os
 import re
+import sys
+from array import array
 
 import numpy as np
 
-CACHE_WORDS = 200_000  # words kept per worker; beyond that the later half goes
+CACHE_WORDS = 120_000  # words, and chunks, kept per worker; beyond that the later half goes
 
 _COMMON = "\t\n\x0b\x0c\r\x20-\x7e¡¿À-ÖØ-öø-ÿ–—‘’“”…€"
 _LETTER = "a-zß-öø-ÿ"
@@ -30,30 +32,58 @@ def load_tokenizer(path: str):
     return t
 
 
+def byte_letters() -> list[str]:
+    """The printable character that stands for each byte in byte-level vocabularies: itself where it is
+    printable Latin-1 (no blank, no soft hyphen), the others from U+0100 on in order."""
+    shown = {*range(0x21, 0x7f), *range(0xa1, 0xad), *range(0xae, 0x100)}
+    rest = iter(range(0x100, 0x200))
+    return [chr(b if b in shown else next(rest)) for b in range(256)]
+
+
 class WordIds(dict):
     """word -> its ids as little-endian unsigned 32-bit bytes."""
 
     def __init__(self, path: str):
         super().__init__()
-        from tokenizers import pre_tokenizers
         self.tok = load_tokenizer(path)
         self.model = self.tok.model
-        self.to_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters = str.maketrans(dict(enumerate(byte_letters())))
         self.specials = [t.content for t in self.tok.get_added_tokens_decoder().values()]
+        self.chunks = Chunks(self)
 
     def __missing__(self, word: str) -> bytes:
-        s = word if word.isascii() and word.isprintable() else self.to_bytes.pre_tokenize_str(word)[0][0]
-        ids = np.array([t.id for t in self.model.tokenize(s)], dtype="<u4").tobytes()
-        self[word] = ids
-        return ids
+        s = word if word.isascii() and word.isprintable() else word.encode().decode("latin-1").translate(self.letters)
+        ids = array("I", [t.id for t in self.model.tokenize(s)])
+        if sys.byteorder == "big":
+            ids.byteswap()
+        self[word] = out = ids.tobytes()
+        return out
 
     def encode(self, text: str) -> bytes:
         if ODD.search(text) or any(s in text for s in self.specials):
             return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
-        if len(self) > CACHE_WORDS:     # the words met first are the common ones
-            for w in list(self)[CACHE_WORDS // 2:]:
-                del self[w]
-        return b"".join(map(self.__getitem__, WORDS.findall(text.lower())))
+        trim(self)
+        trim(self.chunks)
+        return b"".join(map(self.chunks.__getitem__, text.lower().split()))
+
+
+class Chunks(dict):
+    """What stands between white space -> its ids: no word reaches over white space."""
+
+    def __init__(self, words: WordIds):
+        super().__init__()
+        self.words = words
+
+    def __missing__(self, chunk: str) -> bytes:
+        self[chunk] = out = b"".join(map(self.words.__getitem__, WORDS.findall(chunk)))
+        return out
+
+
+def trim(cache: dict):
+    """Keep the first half of a full cache: what was met first is common."""
+    if len(cache) > CACHE_WORDS:
+        for k in list(cache)[CACHE_WORDS // 2:]:
+            del cache[k]
 
 
 _LOADED: dict[str, WordIds] = {}
