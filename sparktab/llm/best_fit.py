@@ -120,7 +120,7 @@ def cut_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, en
         ctx = TaskContext.get()
         block = ctx.partitionId() if ctx else 0
         seen = [0] * (capacity + 1)
-        end, enc, rows = np.array([end_id], dtype="<u4").tobytes(), None, []
+        enc, rows = None, []
         held = 0
 
         def flush():
@@ -133,8 +133,7 @@ def cut_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, en
                 names=["doc_id", "piece", "start", "length", "ids_crc32", "ids", "block", "nth"])
         for b in batches:
             enc = enc or word_ids(tokenizer_path)
-            for d, text in zip(b.column(0).to_pylist(), b.column(1)):
-                ids = enc.encode(text.as_py() or "") + end
+            for d, ids in zip(b.column(0).to_pylist(), enc.documents(b.column(1).to_pylist(), end_id)):
                 for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                     part = ids[at:at + 4 * capacity]
                     n = len(part) // 4

@@ -10,9 +10,10 @@
    up to ``max_words`` come out with their counts.  They are summed across shards.
 4. The frequent phrases are few: their parts' counts, scores and enclosing phrases are joins on them.
 
-Scale: a phrase is a byte string of fixed-width word numbers, so its parts are substrings and its rows
-are short.  A shard sends one row per different n-gram, whatever its count, so a hot phrase is one row
-per shard.  Counting has no state on the map side and is dealt by the phrase.
+Scale: a phrase is a byte string of fixed-width word numbers, so its parts are substrings.  A shard sends
+each different n-gram once with its count, so a hot phrase is one entry per shard; n-grams are dealt by
+hash to buckets, whose number grows with the words, and travel in blocks, so no row is made for the many
+that occur once.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -30,26 +32,35 @@ from pyspark.sql import functions as F
 from sparktab.llm.common import bounded, written
 
 SHARD_WORDS = 1 << 21
-EMIT_ROWS = 1 << 18
+BUCKET_NGRAMS = 1 << 21     # n-grams of one length that a task sums at a time, on average
 TOKENS = re.compile(rb"[^ \t.,;:!?\n-\r]+|[.,;:!?\n-\r]+")   # words, and runs of separators
 SEPARATORS = b".,;:!?\n\x0b\x0c\r"
 
 
+def sorted_places(key: np.ndarray, bound: int) -> np.ndarray:
+    """The places of ``key`` (0 .. ``bound`` - 1) in its stable order.  Where key and place fit into one
+    number, numbers are sorted, which is many times as fast as sorting places."""
+    bits = len(key).bit_length()
+    if bound.bit_length() + bits < 64:
+        return np.sort(key.astype(np.int64) << bits | np.arange(len(key))) & ((1 << bits) - 1)
+    return np.argsort(key, kind="stable")
+
+
 class FmIndex:
     """Backward search over ``s`` (symbols 0 .. ``sigma`` - 1, read in a circle), for phrases of up to
     ``depth`` symbols: rotations are sorted by so many symbols only."""
 
     def __init__(self, s: np.ndarray, sigma: int, depth: int):
-        key = s.astype(np.int64)
-        for d in range(1, depth):
-            if d > 1:
-                key = np.unique(key, return_inverse=True)[1].astype(np.int64)
-            key = key * sigma + np.roll(s, -d)
+        order, key = sorted_places(s, sigma), s
+        for d in range(1, depth):       # by one symbol more: the rank so far, then the rank of the symbol d on
+            rank = np.empty(len(s), dtype=np.int64)
+            rank[order] = np.cumsum(np.concatenate([[False], np.diff(key[order]) != 0]))
+            key = rank * sigma + np.roll(s, -d)
+            order = sorted_places(key, (int(rank.max()) + 1) * sigma)
         self.sigma = sigma
-        self.bwt = s[np.argsort(key, kind="stable") - 1]
-        order = np.argsort(self.bwt, kind="stable")
+        self.bwt = s[order - 1]
         self.lf = np.empty(len(s), dtype=np.int32)
-        self.lf[order] = np.arange(len(s), dtype=np.int32)
+        self.lf[sorted_places(self.bwt, sigma)] = np.arange(len(s), dtype=np.int32)
         self.first = np.concatenate([[0], np.cumsum(np.bincount(s, minlength=sigma))])
 
     def extend(self, lo: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -59,7 +70,7 @@ class FmIndex:
         base = np.cumsum(n) - n
         rows = np.arange(int(n.sum())) + np.repeat(lo - base, n)
         key = np.repeat(np.arange(len(lo), dtype=np.int64) * self.sigma, n) + self.bwt[rows]
-        order = np.argsort(key, kind="stable")
+        order = sorted_places(key, len(lo) * self.sigma)
         key = key[order]
         head = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
         phrase, symbol = np.divmod(key[head], self.sigma)
@@ -146,8 +157,9 @@ def _numbered(vocabulary: DataFrame) -> DataFrame:
             .withColumn("id", F.col("base") + F.col("at").bitwiseAND((1 << 33) - 1) + 1).drop("at", "part", "base"))
 
 
-def _ngram_rows(shards: DataFrame, max_words: int, width: int) -> DataFrame:
-    """``key, n``: the n-grams of each shard, as ``width`` bytes per word."""
+def _dealt_ngrams(shards: DataFrame, max_words: int, width: int, buckets: int) -> DataFrame:
+    """``bucket, words, keys, counts``: each shard's n-grams in blocks, one per bucket and length; a key is
+    ``width`` bytes per word, and its bucket a hash of its words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
         for b in batches:
@@ -162,14 +174,53 @@ def _ngram_rows(shards: DataFrame, max_words: int, width: int) -> DataFrame:
                 s = number[np.frombuffer(zstandard.decompress(b.column(0)[i].as_py()), dtype="<i4")]
                 s = np.append(s[(s > 0) | (np.concatenate([[1], s[:-1]]) > 0)], 0).astype(np.int32)
                 for phrases, n in ngrams(s, len(ids), max_words):
-                    m = phrases.shape[1]
-                    for lo in range(0, len(n), EMIT_ROWS):
-                        part = ids[phrases[lo:lo + EMIT_ROWS]].astype(">u8")
-                        raw = np.ascontiguousarray(part.view(np.uint8).reshape(len(part), m, 8)[:, :, 8 - width:])
-                        offsets = np.arange(len(part) + 1, dtype=np.int32) * (m * width)
-                        keys = pa.BinaryArray.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
-                        yield pa.record_batch([keys, pa.array(n[lo:lo + EMIT_ROWS], pa.int64())], names=["key", "n"])
-    return shards.select("text", "ids", "size").mapInArrow(run, "key binary, n long")
+                    phrases = ids[phrases]
+                    mixed = np.zeros(len(phrases), dtype=np.uint64)
+                    for word in phrases.T:
+                        mixed = (mixed ^ word.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+                        mixed ^= mixed >> np.uint64(29)
+                    bucket = (mixed % np.uint64(buckets)).astype(np.int64)
+                    order = sorted_places(bucket, buckets)
+                    bucket, m = bucket[order], phrases.shape[1]
+                    raw = phrases[order].astype(">u8").view(np.uint8).reshape(len(order), m, 8)[:, :, 8 - width:]
+                    keys, counts = np.ascontiguousarray(raw).tobytes(), n[order].astype("<i8").tobytes()
+                    heads = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])) if len(bucket) else bucket
+                    ends = np.append(heads[1:], len(bucket)).tolist()
+                    yield pa.record_batch([
+                        pa.array(bucket[heads]), pa.array([m] * len(heads), pa.int32()),
+                        pa.array([keys[lo * m * width:hi * m * width] for lo, hi in zip(heads.tolist(), ends)], pa.binary()),
+                        pa.array([counts[8 * lo:8 * hi] for lo, hi in zip(heads.tolist(), ends)], pa.binary())],
+                        names=["bucket", "words", "keys", "counts"])
+    return shards.select("text", "ids", "size").mapInArrow(run, "bucket long, words int, keys binary, counts binary")
+
+
+def _summed(blocks: DataFrame, width: int, min_count: int) -> DataFrame:
+    """``key, f``: the n-grams that occur ``min_count`` times or more.  A task sums one bucket at a time."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        now = None
+
+        def total() -> pa.Table:
+            return pa.concat_tables(held).combine_chunks().group_by("key", use_threads=False).aggregate([("n", "sum")]).rename_columns(["key", "n"])
+
+        def flush():
+            t = total()
+            t = t.filter(pc.greater_equal(t["n"], min_count))
+            yield from pa.table({"key": t["key"].cast(pa.binary()), "f": t["n"]}).to_batches()
+        for b in batches:
+            for bucket, words, keys, counts in zip(*(b.column(i).to_pylist() for i in range(4))):
+                if (bucket, words) != now and held:
+                    yield from flush()
+                    held.clear()
+                now = bucket, words
+                n = len(counts) // 8
+                key = pa.FixedSizeBinaryArray.from_buffers(pa.binary(words * width), n, [None, pa.py_buffer(keys)])
+                held.append(pa.table({"key": key, "n": np.frombuffer(counts, dtype="<i8")}))
+                if len(held) > 1 and sum(t.num_rows for t in held) > 4 * BUCKET_NGRAMS:
+                    held[:] = [total()]
+        if held:
+            yield from flush()
+    return blocks.repartition("bucket").sortWithinPartitions("bucket", "words").mapInArrow(run, "key binary, f long")
 
 
 def collocations(docs: DataFrame, max_words: int = 3, min_count: int = 10, top: int = 2000, inside_percent: int = 50,
@@ -198,9 +249,10 @@ def collocations(docs: DataFrame, max_words: int = 3, min_count: int = 10, top:
 
     places = shards.select("shard", "lang", F.posexplode("words").alias("at", "word")).join(vocabulary, ["lang", "word"])
     places = places.groupBy("shard").agg(F.collect_list(F.struct("at", "id")).alias("ids"))     # at most the shard's words
-    rows = _ngram_rows(shards.select("shard", "text", F.size("words").alias("size")).join(places, "shard"), max_words, width)
-    counts = rows.repartition("key").groupBy("key").agg(F.sum("n").alias("f")).filter(F.col("f") >= min_count)
-    grams = written(counts, "ngrams")
+    # of each length about one n-gram per word: as many buckets as keep one within a task's memory
+    buckets = max(1, -(-(totals.agg(F.sum("n")).first()[0] or 0) // BUCKET_NGRAMS))
+    blocks = _dealt_ngrams(shards.select("shard", "text", F.size("words").alias("size")).join(places, "shard"), max_words, width, buckets)
+    grams = written(_summed(blocks, width, min_count), "ngrams")
 
     def part(first, words):
         return F.substring("key", F.lit(1) + first * width, words * width)

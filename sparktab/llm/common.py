@@ -64,28 +64,45 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def unused(df: DataFrame, *stems: str) -> list[str]:
+    """Column names that ``df`` does not have, whatever their case: helper columns never meet a column of the
+    caller's."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for stem in stems:
+        name, n = stem, 0
+        while name.lower() in taken:
+            n += 1
+            name = f"{stem}_{n}"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def hash_sample(df: DataFrame, n: int, id_col: str = "doc_id") -> DataFrame:
     """The rows of the ``n`` smallest hashes of ``id_col``: a bounded sample that does not depend on
     the partitioning.  Only ids are sorted; the ``n`` of them are broadcast to pick the rows."""
-    ids = (df.select(F.col(id_col).alias("_id")).filter("_id IS NOT NULL").withColumn("_h", F.xxhash64("_id"))
-           .orderBy("_h", "_id").limit(n).select("_id").distinct())
-    return df.join(F.broadcast(ids), df[id_col] == F.col("_id"), "left_semi")
+    key, h = unused(df, "sample_id", "sample_hash")
+    ids = (df.select(F.col(id_col).alias(key)).filter(F.col(key).isNotNull()).withColumn(h, F.xxhash64(key))
+           .orderBy(h, key).limit(n).select(key).distinct())
+    return df.join(F.broadcast(ids), F.col(id_col) == F.col(key), "left_semi")
 
 
 FILTER_BITS = 1 << 24
 
 
-def maybe_among(df: DataFrame, id_col: str, ids: DataFrame, flag: str = "_maybe") -> DataFrame:
-    """Add ``flag``: false where ``id_col`` is surely not among ``ids`` (one column, same name).
+def maybe_among(df: DataFrame, id_: Column, ids: DataFrame, flag: str) -> DataFrame:
+    """Add ``flag``: false where ``id_`` is surely not among ``ids`` (a table of one column).
 
     A hash bitmap of ``FILTER_BITS`` bits, as at most ``FILTER_BITS / 64`` rows of 16 bytes (4 MB), is
     broadcast whatever the number of ids; with very many ids it only lets more rows through.  It keeps
     wide rows out of a shuffle that an exact join decides."""
+    place, word, bits = unused(df, "filter_place", "filter_word", "filter_bits")
+
     def bit(c):
         return F.pmod(F.xxhash64(c), F.lit(FILTER_BITS))
-    words = (ids.select(bit(F.col(id_col)).alias("_b")).groupBy((F.col("_b") / 64).cast("long").alias("_w"))
-             .agg(F.bit_or(F.expr("shiftleft(1L, cast(_b % 64 AS int))")).alias("_bits")))
-    x = df.withColumn("_b", bit(F.col(id_col))).withColumn("_w", (F.col("_b") / 64).cast("long"))
-    x = x.join(F.broadcast(words), "_w", "left")
-    hit = F.expr("shiftrightunsigned(_bits, cast(_b % 64 AS int)) & 1L") == 1
-    return x.withColumn(flag, F.coalesce(hit, F.lit(False))).drop("_b", "_w", "_bits")
+    words = (ids.select(bit(F.col(ids.columns[0])).alias(place)).groupBy((F.col(place) / 64).cast("long").alias(word))
+             .agg(F.bit_or(F.expr(f"shiftleft(1L, cast({place} % 64 AS int))")).alias(bits)))
+    x = df.withColumn(place, bit(id_)).withColumn(word, (F.col(place) / 64).cast("long"))
+    x = x.join(F.broadcast(words), word, "left")
+    hit = F.expr(f"shiftrightunsigned({bits}, cast({place} % 64 AS int)) & 1L") == 1
+    return x.withColumn(flag, F.coalesce(hit, F.lit(False))).drop(place, word, bits)

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparktab.llm.common import map_arrow, maybe_among, written
+from sparktab.llm.common import map_arrow, maybe_among, unused, written
 from sparktab.llm.components import block_pairs, connected_components, map_groups, runs
 
 SHINGLE = 5
@@ -176,7 +176,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, tables: int = TABLE
     needed = (pairs.select(F.col("a").alias("key")).unionAll(pairs.select(F.col("b").alias("key"))).unionAll(large.select("key"))
               .distinct().join(classes.select("key", "least"), "key"))
     needed = written(needed.select("key", F.col("least").alias("doc_id")), "needed")
-    texts = maybe_among(base, "doc_id", needed.select("doc_id")).filter("_maybe").drop("_maybe").join(needed, "doc_id")
+    texts = maybe_among(base, F.col("doc_id"), needed.select("doc_id"), "maybe").filter("maybe").drop("maybe").join(needed, "doc_id")
 
     def shingled():
         def fn(b: pa.RecordBatch) -> pa.RecordBatch:
@@ -250,13 +250,15 @@ def keep_one(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", te
     share their text one stays."""
     found = near_duplicates(docs, threshold, id_col=id_col, text_col=text_col)
     per_id = written(found.filter("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count(F.lit(1)).alias("n")), "decisions")
-    gone = per_id.filter("NOT kept").select(F.col("doc_id").alias(id_col))
     # texts whose ids are surely not among those that go stay where they are; the others are looked up
-    marked = maybe_among(docs.withColumn("_id", F.col(id_col).cast("long")), "_id", gone.withColumnRenamed(id_col, "_id"))
-    out = marked.filter("NOT _maybe").select(docs.columns).unionByName(
-        marked.filter("_maybe").drop("_maybe", "_id").join(gone, id_col, "left_anti").select(docs.columns))
-    again = per_id.filter("kept AND n > 1").select(F.col("doc_id").alias(id_col))
+    maybe, key = unused(docs, "maybe", "lost_id")
+    mine = F.col(id_col).cast("long") == F.col(key)
+    gone = per_id.filter("NOT kept").select(F.col("doc_id").alias(key))
+    marked = maybe_among(docs, F.col(id_col).cast("long"), gone, maybe)
+    out = marked.filter(~F.col(maybe)).select(docs.columns).unionByName(
+        marked.filter(maybe).join(gone, mine, "left_anti").select(docs.columns))
+    again = per_id.filter("kept AND n > 1").select(F.col("doc_id").alias(key))
     if again.isEmpty():
         return out
-    return out.join(again, id_col, "left_anti").select(docs.columns).unionByName(
-        out.join(again, id_col, "left_semi").select(docs.columns).dropDuplicates([id_col, text_col]))
+    return out.join(again, mine, "left_anti").select(docs.columns).unionByName(
+        out.join(again, mine, "left_semi").select(docs.columns).dropDuplicates([id_col, text_col]))

@@ -79,7 +79,6 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, e
         ids: list = []
         tokens: list[bytes] = []
         held, enc = 0, None
-        end = np.array([end_id], dtype="<u4").tobytes()
 
         def flush():
             nonlocal next_id, held
@@ -103,8 +102,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, capacity: int = 4096, e
 
         for b in batches:
             enc = enc or word_ids(tokenizer_path)
-            for d, text in zip(b.column(0).to_pylist(), b.column(1)):
-                t = enc.encode(text.as_py() or "") + end
+            for d, t in zip(b.column(0).to_pylist(), enc.documents(b.column(1).to_pylist(), end_id)):
                 if tokens and held + len(t) // 4 > shard_tokens:
                     yield flush()
                 ids.append(d)

@@ -11,8 +11,10 @@ from __future__ import annotations
 import datetime as dt
 import hmac
 import re
+from bisect import bisect_left
 from collections.abc import Callable
 from math import isqrt
+from operator import itemgetter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -23,6 +25,11 @@ from sparktab.llm.common import map_arrow
 ROUNDS = 10
 
 
+def _round_bytes(b: int) -> int:
+    """Bytes of a round's number: 8 more than a half ``range(b)`` needs, so all of it is mixed evenly."""
+    return max(16, (b.bit_length() + 7) // 8 + 8)
+
+
 class Feistel:
     """Keyed permutations of ``range(n)`` without fixed points.
 
@@ -33,20 +40,26 @@ class Feistel:
     def __init__(self, key: bytes):
         self.key = key
 
-    def _round(self, tweak: bytes, r: int, x: int) -> int:
+    def _round(self, tweak: bytes, r: int, x: int, size: int) -> int:
+        """A keyed number of ``size`` bytes."""
         message = tweak + bytes([r]) + x.to_bytes((x.bit_length() + 7) // 8 or 1, "big")
-        return int.from_bytes(hmac.digest(self.key, message, "sha256")[:16], "big")
+        out = hmac.digest(self.key, message, "sha256")
+        for i in range(1, -(-size // len(out))):
+            out += hmac.digest(self.key, i.to_bytes(4, "big") + message, "sha256")
+        return int.from_bytes(out[:size], "big")
 
     def _forward(self, x: int, b: int, tweak: bytes) -> int:
         left, right = divmod(x, b)
+        size = _round_bytes(b)
         for r in range(ROUNDS):
-            left, right = right, (left + self._round(tweak, r, right)) % b
+            left, right = right, (left + self._round(tweak, r, right, size)) % b
         return left * b + right
 
     def _backward(self, x: int, b: int, tweak: bytes) -> int:
         left, right = divmod(x, b)
+        size = _round_bytes(b)
         for r in reversed(range(ROUNDS)):
-            left, right = (right - self._round(tweak, r, left)) % b, left
+            left, right = (right - self._round(tweak, r, left, size)) % b, left
         return left * b + right
 
     def permute(self, x: int, n: int, tweak: str) -> int:
@@ -77,6 +90,17 @@ def iban_digits(s: str) -> int:
     return int("".join(str(int(c, 36)) for c in s[4:] + s[:4])) % 97
 
 
+# The country calling codes of two digits.  Those that begin with 1 or 7 have one digit, all
+# others three.
+TWO_DIGIT_COUNTRIES = {20, 27, 30, 31, 32, 33, 34, 36, 39, 40, 41, 43, 44, 45, 46, 47, 48, 49, 51, 52, 53, 54, 55, 56, 57, 58,
+                       60, 61, 62, 63, 64, 65, 66, 81, 82, 84, 86, 90, 91, 92, 93, 94, 95, 98}
+
+
+def country_digits(number: str) -> int:
+    """How many leading digits of an international number are its country code."""
+    return 1 if number[0] in "17" else 2 if int(number[:2]) in TWO_DIGIT_COUNTRIES else 3
+
+
 def _fill(template: str, digits: str) -> str:
     """``template`` with its digits replaced in order."""
     it = iter(digits)
@@ -149,14 +173,14 @@ class Pseudonymizer:
         return f"{a + 1 + (a >= 665):03d}-{group + 1:02d}-{serial + 1:04d}"
 
     def phone(self, m: re.Match) -> str | None:
-        """The country code stays; all other digits are permuted within their format."""
+        """The country code stays; the national number is permuted among those of its length, so it has one
+        pseudonym with and without the code, whatever the separators."""
         s = m.group()
         digits = re.sub(r"\D", "", s)
         if not 9 <= len(digits) <= 15:
             return None
-        country = re.match(r"\+\d{1,3}(?=\D)", s)
-        keep = len(country.group()) - 1 if country else 0
-        return _fill(s, digits[:keep] + self.digits(digits[keep:], "phone" + digits[:keep]))
+        keep = country_digits(digits) if s[0] == "+" else 0
+        return _fill(s, digits[:keep] + self.digits(digits[keep:], "phone"))
 
     def ip(self, m: re.Match) -> str | None:
         parts = [int(x) for x in m.group().split(".")]
@@ -210,18 +234,18 @@ NAMES = ("email", "iban", "ip", "date", "ssn", "card", "phone")
 def pseudonymize_text(text: str, p: Pseudonymizer) -> tuple[str, list[tuple[str, int, int]]]:
     """The text with pseudonyms, and ``(kind, start, end)`` of what was replaced in the original.
     Where kinds overlap the earlier one in ``KINDS`` holds the text."""
-    found: list[tuple[int, int, str, str]] = []
+    found: list[tuple[int, int, str, str]] = []     # sorted and disjoint
     if not (re.search(r"\d", text) or "@" in text):
         return text, []
     for kind, pattern, make in KINDS:
         for m in pattern.finditer(text):
             s, e = m.span()
-            if any(s < y and x < e for x, y, _, _ in found):
+            i = bisect_left(found, e, key=itemgetter(0))    # the last claimed span that starts before this one ends
+            if i and found[i - 1][1] > s:
                 continue
             new = make(p, m)
             if new is not None:
-                found.append((s, e, kind, new))
-    found.sort()
+                found.insert(i, (s, e, kind, new))
     out, at = [], 0
     for s, e, _, new in found:
         out += [text[at:s], new]

@@ -105,7 +105,7 @@ def estimate(docs: DataFrame, rules: dict = RULES, sample_docs: int = SAMPLE_DOC
                                     pa.array([len(texts)] * len(names), pa.int64())], names=["rule", "s", "hits", "n"])
         return fn
 
-    rows = (map_arrow(hash_sample(docs, sample_docs, id_col), [F.col(text_col)], "rule string, s double, hits long, n long", make)
+    rows = (map_arrow(hash_sample(docs.select(id_col, text_col), sample_docs, id_col), [F.col(text_col)], "rule string, s double, hits long, n long", make)
             .groupBy("rule").agg(F.sum("s").alias("s"), F.sum("hits").alias("hits"), F.sum("n").alias("n")).collect())
     got = {r["rule"]: (r["s"] / r["n"], r["hits"] / r["n"]) for r in rows}
     out = [(n, *got.get(n, (0.0, 0.0))) for n in names]

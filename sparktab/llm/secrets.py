@@ -9,6 +9,8 @@ of a token that does alone, whatever ordinary words are joined to it.
 from __future__ import annotations
 
 import re
+from heapq import nsmallest
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -31,6 +33,7 @@ ALPHABET = "abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/_=-"
 
 SAMPLE_DOCS = 8000      # documents that labelled strings are taken from
 MAX_SAMPLES = 4000      # labelled strings per class
+DOC_WORDS = 8           # ordinary words taken from a sampled document
 THRESHOLD = 2.6         # mean log-likelihood ratio per character: long words of other languages reach 2.5
 
 
@@ -127,10 +130,14 @@ def maximal_segments(values: list[float]) -> list[tuple[int, int]]:
 
 def random_spans(text: str, base: list[tuple[int, int, int]], model: MarkovModel, threshold: float) -> list[tuple[int, int]]:
     """What the models add to the ``base`` spans: stretches of the candidates, beside those spans."""
-    out = []
+    out, near, following = [], [], 0
     for m in CANDIDATE.finditer(text):
         at = m.start()
-        for x, _, y in [z for z in base if z[0] < m.end() and m.start() < z[2]] + [(m.end(), 0, m.end())]:
+        near = [z for z in near if z[2] > at]       # few: spans of one kind do not overlap
+        while following < len(base) and base[following][0] < m.end():
+            near.append(base[following])
+            following += 1
+        for x, _, y in near + [(m.end(), 0, m.end())]:
             if x - at >= LEAST:
                 out += [(at + p, at + q) for p, q in model.stretches(text[at:x], threshold)]
             at = max(at, y)
@@ -138,11 +145,13 @@ def random_spans(text: str, base: list[tuple[int, int, int]], model: MarkovModel
 
 
 def labelled_samples(docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", sample_docs: int = SAMPLE_DOCS,
-                     max_samples: int = MAX_SAMPLES) -> list[tuple[str, int]]:
+                     max_samples: int = MAX_SAMPLES, doc_words: int = DOC_WORDS) -> list[tuple[str, int]]:
     """Labelled strings from the ``sample_docs`` documents of smallest id hash: strings that the fixed patterns catch are random
     (label 1); words, and words joined as identifiers are, are ordinary (label 0).
 
-    Each class keeps its ``max_samples`` strings of smallest hash, whatever the partitioning.
+    Ordinary strings come from the sampled documents that hold no span of a fixed pattern: of each, the
+    ``doc_words`` different words (3 to 24 letters) of smallest hash in its whole text, and half as many joined pairs of
+    the next ones.  Each class keeps its ``max_samples`` strings of smallest hash, whatever the partitioning.
     Generated strings (hex, base-62, base-64 alphabets from a seeded generator; words joined with
     underscores and capitals) complete a class that the corpus fills only in part.
     """
@@ -159,17 +168,17 @@ def labelled_samples(docs: DataFrame, text_col: str = "text", id_col: str = "doc
                     s = t[start:end]
                     got[ASSIGN.match(s).group(2) if kind == 0 else s, 1] = None
                 if not spans:
-                    words = word.findall(t, 0, 400)
-                    for w in words[:8]:
+                    words = nsmallest(2 * doc_words, set(word.findall(t)), key=lambda w: (crc32(w.encode()), w))
+                    for w in words[:doc_words]:
                         got[w, 0] = None
-                    for x, y in zip(words[8:14:2], words[9:15:2]):
+                    for x, y in zip(words[doc_words::2], words[doc_words + 1::2]):
                         got[f"{x}_{y}", 0] = None
                         got[x.lower() + y.capitalize(), 0] = None
             return pa.record_batch([pa.array([k[0] for k in got], pa.string()), pa.array([k[1] for k in got], pa.int32())],
                                    names=["s", "label"])
         return fn
 
-    found = map_arrow(hash_sample(docs, sample_docs, id_col), [F.col(text_col).alias("t")], "s string, label int", make).distinct().withColumn("h", F.xxhash64("s"))
+    found = map_arrow(hash_sample(docs.select(id_col, text_col), sample_docs, id_col), [F.col(text_col).alias("t")], "s string, label int", make).distinct().withColumn("h", F.xxhash64("s"))
     out: list[tuple[str, int]] = []
     for label in (1, 0):
         rows = found.filter(F.col("label") == label).orderBy("h", "s").limit(max_samples).collect()
@@ -237,8 +246,11 @@ def redact(docs: DataFrame, samples: list[tuple[str, int]], threshold: float = T
                             merged[-1][1] = max(merged[-1][1], e)
                         else:
                             merged.append([s, e])
-                    for s, e in reversed(merged):
-                        t = t[:s] + mask + t[e:]
+                    kept, last = [], 0
+                    for s, e in merged:
+                        kept.append(t[last:s])
+                        last = e
+                    t = mask.join([*kept, t[last:]])
                 out.append(t)
             cols = list(b.columns)
             cols[at] = pa.array(out, pa.string())

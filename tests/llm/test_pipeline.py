@@ -6,6 +6,7 @@ import sys
 
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 
 from sparktab.llm import quality_fm, rules, secrets
 
@@ -83,3 +84,20 @@ def test_entry_without_the_subpackage(tmp_path):
     code = ("import sys; sys.modules['sparktab.llm'] = None; sys.modules['corpus_pipeline'] = None; sys.path.insert(0, %r); "
             "import __spark_entry__ as e; q = e.queries(); assert q and not any(k.startswith('op1_') or k == 'pipeline' for k in q); e.oracle_sql()") % root
     subprocess.run([sys.executable, "-c", code], check=True, timeout=120)
+
+
+CLASHES = ["_id", "_b", "_w", "_bits", "_maybe", "key", "component", "maybe", "LOST_ID", "sample_id", "sample_hash", "filter_word",
+           "filter_bits", "filter_place", "n", "cell", "length", "offset", "rule", "s", "label", "_k", "_y", "_t"]
+
+
+@pytest.mark.parametrize("at", range(5))
+def test_columns_with_any_name_go_along(spark, runs, at):
+    name, before, after = runs[at]
+    more = before.select("*", *[F.lit(i).alias(c) for i, c in enumerate(CLASHES)])
+    got = corpus_pipeline.STAGES[at][1](spark, more, "/root/testdata/sf0.001")
+    if at < 4:
+        assert got.columns == more.columns
+        assert sorted(r.doc_id for r in got.select("doc_id").collect()) == sorted(r.doc_id for r in after.collect())
+        assert got.select(*CLASHES).distinct().count() == 1
+    else:
+        assert got.columns == after.columns and got.count() == after.count()
