@@ -45,7 +45,7 @@ union all
 select phase, seq, epoch(s_ts) as start_s, cast(null as double) as end_s, cast(null as double) as duration_s, 'timeout' as status
 from open_start where (epoch(s_ts) * 1000)::bigint + 86400000 < (select (epoch(max(ts)) * 1000)::bigint - 3600000 from pe)"""))
 def stream_pairs(spark, d):
-    """Keyed-state start/end pairing with event-time timeout for open phases."""
+    """start/end pairing kept per phase and time block in RocksDB state; open phases time out."""
     return S.stream_phase_pairs(spark, _events_path(d))
 
 

@@ -7,8 +7,9 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 EARTH_RADIUS_KM = 6371.0
 _M31 = 2147483648  # 2**31
@@ -48,15 +49,32 @@ def nan_to_null(c) -> Column:
     return F.when(F.isnan(c), F.lit(None)).otherwise(c)
 
 
+def is_float(df: DataFrame, c: str) -> bool:
+    return isinstance(df.schema[c].dataType, (T.FloatType, T.DoubleType))
+
+
+def present(df: DataFrame, c: str) -> Column:
+    """Column ``c`` of ``df`` with NaN as null: a missing value is the same in every operator, however it is
+    written.  Only float columns can hold NaN; others come as they are."""
+    return nan_to_null(c) if is_float(df, c) else F.col(c)
+
+
+def without_nan(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """``df`` with NaN as null in its float columns (or those of ``cols``): one projection."""
+    floats = [c for c in (df.columns if cols is None else cols) if c in df.columns and is_float(df, c)]
+    return df.withColumns({c: nan_to_null(c) for c in floats}) if floats else df
+
+
 def clip(c, lo=None, hi=None) -> Column:
-    """Clip to optional bounds; null stays null (least/greatest would skip nulls)."""
+    """Clip numbers to optional bounds; null stays null (least/greatest would skip nulls), and NaN, which Spark
+    sorts above all numbers, is a missing value and becomes null too."""
     c = col_(c)
     out = c
     if lo is not None:
         out = F.greatest(out, F.lit(float(lo)))
     if hi is not None:
         out = F.least(out, F.lit(float(hi)))
-    return F.when(c.isNull(), F.lit(None)).otherwise(out)
+    return F.when(c.isNull() | F.isnan(c.cast("double")), F.lit(None)).otherwise(out)
 
 
 def haversine_km(lat1, lon1, lat2, lon2) -> Column:

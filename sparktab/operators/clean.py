@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from sparktab.functions.scalar import clip
+from sparktab.functions.scalar import clip, is_float, present, without_nan
 from sparktab.operators.ordering import running_last
 from sparktab.operators.profile import NUMERIC, quantiles, row_text
 
@@ -66,8 +66,10 @@ def fill_values(df: DataFrame, strategies: dict[str, str], skip_unknown_on_typed
     """C7 fit: one fill value per column from ``df`` (mean / median / mode / zero / unknown / literal).
 
     mean/median on non-numeric fall back to mode; an empty mode gives 0 (numeric) or 'unknown'.
-    Every statistic of every column comes from at most three jobs (moments, quantiles, modes).
+    Every statistic of every column comes from at most three jobs (moments, quantiles, modes).  NaN
+    counts as missing.
     """
+    df = without_nan(df, list(strategies))
     out, want_mean, want_median, want_mode = {}, [], [], []
     for c, s in strategies.items():
         if c not in df.columns or s in ("ffill",):
@@ -102,20 +104,28 @@ def fill_values(df: DataFrame, strategies: dict[str, str], skip_unknown_on_typed
 
 
 def modes(df: DataFrame, cols: list[str], with_default: bool = True) -> dict:
-    """Most frequent non-null value per column; ties -> smallest (numeric order for numbers).
+    """Most frequent non-null value per column; ties -> smallest (numeric order for numbers).  NaN is
+    missing, -0.0 is 0.0, and whole numbers and decimals keep every digit.
 
     Counting is a ``groupBy(column, value)`` with map-side combine; the top-1 per column is a
     ``WindowGroupLimit``, so a column with many distinct values never lands in one task.
     """
-    pairs = F.array(*[F.struct(F.lit(c).alias("c"),
-                               (F.col(c).cast("double") if is_numeric(df, c) else F.lit(None).cast("double")).alias("d"),
-                               F.col(c).cast("string").alias("s")) for c in cols])
-    vc = df.select(F.inline(pairs)).where(F.col("s").isNotNull()).groupBy("c", "d", "s").agg(F.count(F.lit(1)).alias("n"))
-    w = Window.partitionBy("c").orderBy(F.col("n").desc(), F.col("d").asc(), F.col("s").asc())
+    df = without_nan(df, cols)
+
+    def value(c):
+        x = F.col(c) + F.lit(0.0) if is_float(df, c) else F.col(c)
+        number = isinstance(df.schema[c].dataType, T.DecimalType) or (is_numeric(df, c) and not is_float(df, c))
+        return F.struct(F.lit(c).alias("c"), (x.cast("double") if is_float(df, c) else F.lit(None).cast("double")).alias("d"),
+                        (x.cast("decimal(38,10)") if number else F.lit(None).cast("decimal(38,10)")).alias("e"),
+                        x.cast("string").alias("s"))
+    vc = (df.select(F.inline(F.array(*map(value, cols)))).where(F.col("s").isNotNull())
+          .groupBy("c", "d", "e", "s").agg(F.count(F.lit(1)).alias("n")))
+    w = Window.partitionBy("c").orderBy(F.col("n").desc(), F.col("d").asc(), F.col("e").asc(), F.col("s").asc())
     top = vc.withColumn("r", F.row_number().over(w)).where("r = 1").collect()  # one row per column
     res = {}
     for r in top:
-        res[r["c"]] = r["d"] if r["d"] is not None else r["s"]
+        exact = r["e"] if r["e"] is None or isinstance(df.schema[r["c"]].dataType, T.DecimalType) else int(r["e"])
+        res[r["c"]] = r["d"] if r["d"] is not None else r["s"] if exact is None else exact
     for c in cols:
         res.setdefault(c, (0 if is_numeric(df, c) else "unknown") if with_default else None)
     return res
@@ -123,8 +133,8 @@ def modes(df: DataFrame, cols: list[str], with_default: bool = True) -> dict:
 
 def fill_expr(df: DataFrame, c: str, v) -> Column:
     """``coalesce(c, v)`` with the fill cast to the column type; strings never fill typed columns.  A
-    fractional fill (the mean or median of whole numbers) turns a whole-number column to double."""
-    x = F.col(c)
+    fractional fill (the mean or median of whole numbers) turns a whole-number column to double.  NaN is filled too."""
+    x = present(df, c)
     if v is None:
         return x
     if is_temporal(df, c) and isinstance(v, str):
@@ -141,8 +151,9 @@ def ffill_bfill(df: DataFrame, cols: list[str], order_col: str, group_cols=(), n
     """Forward fill then backward fill in ``order_col`` order (optionally per group).
 
     Both passes are :func:`running_last` - blocked streaming windows plus a carried edge value per
-    block - so no single task ever holds the whole order.
+    block - so no single task ever holds the whole order.  NaN is a missing value: it is filled, and not carried.
     """
+    df = without_nan(df, cols)
     f = running_last(df, {f"_ff_{c}": F.col(c) for c in cols}, order_col, group_cols, True, False, n_blocks)
     b = running_last(f, {f"_bf_{c}": F.col(c) for c in cols}, order_col, group_cols, True, True, n_blocks)
     return b.withColumns({c: F.coalesce(F.col(f"_ff_{c}"), F.col(f"_bf_{c}")) for c in cols}).select(*df.columns)
@@ -159,16 +170,17 @@ def iqr_bounds(df: DataFrame, cols: list[str], factor: float = 1.5) -> DataFrame
 
 
 def iqr_outlier_mask(df: DataFrame, c: str, lo: float, hi: float) -> Column:
-    """C10 apply: outside [lo, hi]; IQR = 0 or null value -> False."""
-    x = F.col(c)
+    """C10 apply: outside [lo, hi]; IQR = 0, null or NaN value -> False."""
+    x = present(df, c)
     if lo == hi:
         return F.lit(False)
     return F.coalesce((x < F.lit(lo)) | (x > F.lit(hi)), F.lit(False))
 
 
 def post_clean_checks(train: DataFrame, test: DataFrame, id_col: str = "_id", target: str = "target") -> DataFrame:
-    """(check, severity, ok, value) rows; errors make the run fail, duplicates only warn."""
+    """(check, severity, ok, value) rows; errors make the run fail, duplicates only warn.  NaN is missing."""
     spark = train.sparkSession
+    train, test = without_nan(train, [target, id_col]), without_nan(test, [id_col])
     rows = []
     if target in train.columns:
         t = train.agg(F.count(F.lit(1)).alias("n"), F.count(target).alias("nn"),
@@ -217,9 +229,9 @@ def keep_first(df: DataFrame, cols: list[str], order_col: str) -> DataFrame:
     Groups go by a SHA-256 digest + length of the lossless row text; ``min_by`` leaves one row per
     group and task before the shuffle, so hot groups stay small.
     """
-    canon = row_text(cols)
+    canon = row_text(df, cols)
     keyed = df.select(F.sha2(canon, 256).alias("_h"), F.length(canon).alias("_l"), F.struct("*").alias("_row"),
-                      F.struct(F.col(order_col), F.sha2(row_text(df.columns), 256)).alias("_o"))
+                      F.struct(F.col(order_col), F.sha2(row_text(df, df.columns), 256)).alias("_o"))
     return keyed.groupBy("_h", "_l").agg(F.min_by("_row", "_o").alias("_row")).select("_row.*")
 
 

@@ -6,7 +6,8 @@
 
 Every encoder computes the statistics of all its columns in ONE aggregation: the columns are
 unpivoted to ``(feature, value)`` pairs so a single shuffle serves them all, with map-side partial
-aggregation absorbing hot categories.  Maps are joined back through :func:`attach`.
+aggregation absorbing hot categories.  Maps are joined back through :func:`attach`.  A NaN category or
+target is missing, as null is.
 """
 
 from __future__ import annotations
@@ -14,20 +15,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from sparktab.functions.scalar import present
 from sparktab.operators.joins import attach, checked_small
 from sparktab.operators.ordering import global_index
 
 
 def _long(df: DataFrame, cols: list[str], keep: list[str]) -> DataFrame:
     """Unpivot ``cols`` to (feature, value string) next to the ``keep`` columns."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(c).cast("string").alias("value")) for c in cols])
-    return df.select(*keep, F.inline(pairs))
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), present(df, c).cast("string").alias("value")) for c in cols])
+    return df.select(*[present(df, k).alias(k) for k in keep], F.inline(pairs))
 
 
 def _mean(df: DataFrame, target: str) -> Column:
     """Global target mean, fitted once (one aggregate) and inlined as a literal: a scalar subquery
     would carry the whole input plan into every encoded expression."""
-    return F.lit(df.select(F.avg(target)).first()[0]).cast("double")
+    return F.lit(df.select(F.avg(present(df, target))).first()[0]).cast("double")
 
 
 def target_encoding_map(train: DataFrame, cols: list[str], target: str = "target",
@@ -154,7 +156,7 @@ def label_encode(train: DataFrame, df: DataFrame, cols: list[str], name=lambda c
     out = df
     for c in cols:
         mc = m.where(F.col("feature") == c).select(F.col("value").alias("_v"), F.col("code").alias(name(c)))
-        out = out.withColumn("_v", F.coalesce(F.col(c).cast("string"), F.lit("nan")))
+        out = out.withColumn("_v", F.coalesce(present(df, c).cast("string"), F.lit("nan")))
         out = out.join(F.broadcast(mc) if small else mc, ["_v"], "left").drop("_v")
         out = out.withColumn(name(c), F.coalesce(F.col(name(c)), F.lit(-1).cast("bigint")))
     return out

@@ -7,9 +7,9 @@ The profile is built from two shuffles for any number of columns:
 * one ``groupBy(column, value).count()`` over the unpivoted table, which yields null counts,
   exact distinct counts and top values for every column at once, with map-side combine.
 
-Quantiles are exact (linear interpolation, as pandas) by distributed rank selection: range
-partitioning + per-partition counts, never a single-task window or an all-values buffer.
-``exact=False`` swaps in ``percentile_approx`` sketches for the largest inputs.
+Quantiles are exact (linear interpolation, as pandas) by selection: sketches bracket the ranks, and only
+the few values inside the brackets are counted one by one (see :func:`quantiles`).  ``exact=False`` returns
+``percentile_approx`` sketches themselves.
 """
 
 from __future__ import annotations
@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from pyspark import StorageLevel
 
+from sparktab.functions.scalar import is_float, present
 from sparktab.operators.joins import attach, checked_small
 from sparktab.operators.ordering import global_index, prefix_sum
 
@@ -31,6 +32,10 @@ STRINGY = (T.StringType, T.BooleanType)
 # Groups whose sizes may be read on the driver to build the rank requests locally.
 MAX_LOCAL_GROUPS = 10_000
 
+# Brackets reach so far to both sides of a quantile's probability; a sketch is right to 1 / accuracy.
+SKETCH_ACCURACY = 10_000
+MARGIN = 3 / SKETCH_ACCURACY
+
 # Distinct values per group that one window task may sort; above it ranks come from the
 # distributed index (range partitioning + blocked prefix sums).
 MAX_WINDOW_ROWS = 2_000_000
@@ -101,11 +106,50 @@ def top_values(df: DataFrame, cols: list[str] | None = None, k: int = 5) -> Data
     return vc.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def quantiles(df: DataFrame, cols: list[str], probs=(0.25, 0.5, 0.75), exact: bool = True) -> DataFrame:
-    """(column_name, prob, value): linear-interpolated quantiles of the non-null values of ``cols``."""
-    long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("double").alias("v"))
-                                        for c in cols])))
-    return grouped_quantiles(long, ["column_name"], "v", probs, exact)
+def _bounds(probs) -> list[float]:
+    """Probabilities of the lower, then the upper ends of the brackets around ``probs``."""
+    return [max(0.0, p - MARGIN) for p in probs] + [min(1.0, p + MARGIN) for p in probs]
+
+
+def _sketch(x: Column, probs) -> Column:
+    return F.percentile_approx(x, _bounds(probs), SKETCH_ACCURACY)
+
+
+def _cell(x: Column, ends: list[Column]) -> tuple[Column, Column]:
+    """(place, value) of ``x`` among the brackets: inside a bracket the value itself, outside none.  The
+    place counts the ends that ``x`` has passed, so what shares one lies between the same brackets."""
+    m = len(ends) // 2
+    place = sum([(x >= e).cast("int") for e in ends[:m]] + [(x > e).cast("int") for e in ends[m:]])
+    inside = F.lit(False)
+    for lo, hi in zip(ends[:m], ends[m:]):
+        inside = inside | x.between(lo, hi)
+    return place, F.when(inside, x)
+
+
+def quantiles(df: DataFrame, cols: list[str], probs=(0.25, 0.5, 0.75), exact: bool = True, ends: dict | None = None) -> DataFrame:
+    """(column_name, prob, value): linear-interpolated quantiles of the non-null values of ``cols``.
+
+    Exact ones by selection, in two scans for all columns: the first takes sketches (``ends``, where a caller has
+    them already), which bracket each rank; the second counts the values inside the brackets one by one,
+    and those between them together.  No other value is shuffled or sorted."""
+    x = {c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")) for c in cols}
+    if not exact:
+        long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), x[c].alias("v")) for c in cols])))
+        return grouped_quantiles(long, ["column_name"], "v", probs, exact)
+    if ends is None:
+        row = df.agg(*[_sketch(x[c], probs).alias(f"q{i}") for i, c in enumerate(cols)]).first()
+        ends = {c: row[f"q{i}"] for i, c in enumerate(cols)}
+    known = [c for c in cols if ends[c] is not None]    # others have no values
+    if not known:
+        return df.sparkSession.createDataFrame([], "column_name string, prob double, value double")
+
+    def cell(c):
+        place, value = _cell(x[c], [F.lit(float(e)) for e in ends[c]])
+        return F.struct(F.lit(c).alias("column_name"), place.alias("place"), value.alias("inside"), x[c].alias("v"))
+    cells = df.select(F.inline(F.array(*map(cell, known)))).where("v IS NOT NULL")
+    return _by_rank(cells, ["column_name"], probs,
+                    lambda: df.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), x[c].alias("v")) for c in known])))
+                    .where("v IS NOT NULL"))
 
 
 def grouped_quantiles(long: DataFrame, group_cols: list[str], value_col: str, probs=(0.5,),
@@ -118,9 +162,36 @@ def grouped_quantiles(long: DataFrame, group_cols: list[str], value_col: str, pr
         return pa.select(*group_cols, F.posexplode("q")).select(
             *group_cols, F.element_at(F.array(*[F.lit(float(p)) for p in probs]), F.col("pos") + 1).alias("prob"),
             F.col("col").alias("value"))
-    # ties collapse first (map-side combine): a column with few distinct values costs its distinct
-    # count, not its row count; only distinct values are ordered
-    vc = long.groupBy(*group_cols, "v").agg(F.count(F.lit(1)).alias("c")).persist(StorageLevel.MEMORY_AND_DISK)
+    ends = long.groupBy(*group_cols).agg(_sketch(F.col("v"), probs).alias("_q"))
+    ends, small = checked_small(ends)
+    named = ends.select(*[F.col(g).alias(f"_b_{g}") for g in group_cols], "_q")
+    same = [F.col(g).eqNullSafe(F.col(f"_b_{g}")) for g in group_cols]
+    placed = long.join(F.broadcast(named) if small else named, same)
+    place, value = _cell(F.col("v"), [F.col("_q")[i] for i in range(2 * len(probs))])
+    return _by_rank(placed.select(*group_cols, place.alias("place"), value.alias("inside"), "v"), group_cols, probs, lambda: long)
+
+
+def _by_rank(cells: DataFrame, group_cols: list[str], probs, whole) -> DataFrame:
+    """Quantiles from ``(group..., place, inside, v)``.  What lies between brackets is one row at its least
+    value; should a rank fall on such a row of several values, all values of ``whole()`` are ranked instead."""
+    vc = (cells.groupBy(*group_cols, "place", "inside").agg(F.count(F.lit(1)).alias("c"), F.min("v").alias("v"))
+          .select(*group_cols, "v", "c", (F.col("inside").isNull() & (F.col("c") > 1)).alias("blurred")).persist(StorageLevel.MEMORY_AND_DISK))
+    picked = _picked(vc, group_cols, probs)
+    if not picked.where("blurred").isEmpty():
+        vc.unpersist()
+        vc = (whole().groupBy(*group_cols, "v").agg(F.count(F.lit(1)).alias("c")).withColumn("blurred", F.lit(False))
+              .persist(StorageLevel.MEMORY_AND_DISK))
+        picked = _picked(vc, group_cols, probs)
+    ends = picked.groupBy(*group_cols, "prob").agg(
+        F.max(F.when(F.col("i") == F.floor("h"), F.col("v"))).alias("lo"),
+        F.max(F.when(F.col("i") == F.ceil("h"), F.col("v"))).alias("hi"), F.first("h").alias("h"))
+    # equal ends stand for themselves: infinite ones have no difference
+    value = F.when(F.col("lo") == F.col("hi"), F.col("lo")).otherwise(F.col("lo") + (F.col("h") - F.floor("h")) * (F.col("hi") - F.col("lo")))
+    return ends.select(*group_cols, "prob", value.alias("value"))
+
+
+def _picked(vc: DataFrame, group_cols: list[str], probs) -> DataFrame:
+    """The rows of ``(group..., v, c)`` that hold the ranks that ``probs`` ask for, with ``prob, h, i``."""
     st = vc.groupBy(*group_cols).agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("m"))
     few = st.limit(MAX_LOCAL_GROUPS + 1).collect()  # one row per group, read only when few
     if len(few) <= MAX_LOCAL_GROUPS:
@@ -134,7 +205,7 @@ def grouped_quantiles(long: DataFrame, group_cols: list[str], value_col: str, pr
                     req.append((*[r[g] for g in group_cols], float(p), float(h), int(i)))
         schema = T.StructType([st.schema[g] for g in group_cols] + [
             T.StructField("prob", T.DoubleType()), T.StructField("h", T.DoubleType()), T.StructField("i", T.LongType())])
-        need, small = long.sparkSession.createDataFrame(req, schema), True  # <= groups x probs x 2 rows
+        need, small = vc.sparkSession.createDataFrame(req, schema), True  # <= groups x probs x 2 rows
     else:
         st, _ = checked_small(st)
         widest = st.agg(F.max("m")).first()[0] or 0
@@ -144,24 +215,18 @@ def grouped_quantiles(long: DataFrame, group_cols: list[str], value_col: str, pr
             F.floor("h").cast("bigint"), F.ceil("h").cast("bigint")))).alias("i"))
         need, small = checked_small(need)  # groups x probs x 2 rows
     if widest <= MAX_WINDOW_ROWS:
-        # proven bound: no group has more distinct values than one task sorts comfortably
+        # proven bound: no group has more rows than one task sorts comfortably
         w = Window.partitionBy(*group_cols).orderBy("v").rowsBetween(Window.unboundedPreceding, 0)
         cum = vc.withColumn("cum", F.sum("c").over(w))
     else:
         pos = global_index(vc, ["v"], "pos", group_cols=group_cols)
         cum = prefix_sum(pos, "pos", "c", "cum", group_cols)  # value v holds ranks [cum - c, cum - 1]
     nd = need.select(*[F.col(g).alias(f"_n_{g}") for g in group_cols], "prob", "h", "i")
-    cond = [F.col(g) == F.col(f"_n_{g}") for g in group_cols] + \
-        [F.col("cum") - F.col("c") <= F.col("i"), F.col("i") < F.col("cum")]
-    cnd = cond[0]
-    for c in cond[1:]:
-        cnd = cnd & c
-    picked = cum.join(F.broadcast(nd) if small else nd, cnd, "inner")
-    return picked.groupBy(*group_cols, "prob").agg(
-        F.max(F.when(F.col("i") == F.floor("h"), F.col("v"))).alias("lo"),
-        F.max(F.when(F.col("i") == F.ceil("h"), F.col("v"))).alias("hi"),
-        F.first("h").alias("h")).select(
-        *group_cols, "prob", (F.col("lo") + (F.col("h") - F.floor("h")) * (F.col("hi") - F.col("lo"))).alias("value"))
+    cond = F.lit(True)
+    for g in group_cols:
+        cond = cond & F.col(g).eqNullSafe(F.col(f"_n_{g}"))
+    cond = cond & (F.col("cum") - F.col("c") <= F.col("i")) & (F.col("i") < F.col("cum"))
+    return cum.join(F.broadcast(nd) if small else nd, cond, "inner")
 
 
 def numeric_describe(df: DataFrame, cols: list[str] | None = None, exact: bool = True,
@@ -178,7 +243,16 @@ def numeric_describe(df: DataFrame, cols: list[str] | None = None, exact: bool =
         aggs += [F.count(x).alias(f"{c}__n"), F.avg(x).alias(f"{c}__mean"), F.stddev_samp(x).alias(f"{c}__std"),
                  F.min(x).alias(f"{c}__min"), F.max(x).alias(f"{c}__max"), F.skewness(x).alias(f"{c}__g1"),
                  F.kurtosis(x).alias(f"{c}__g2")]
+    probs = (0.25, 0.5, 0.75)
+    if exact:   # the sketches that bracket the quantiles come with the moments, in one scan
+        for c in cols:
+            aggs.append(_sketch(F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double")), probs).alias(f"{c}__q"))
     wide = df.agg(*aggs)
+    ends = None
+    if exact:
+        row = wide.first()
+        ends = {c: row[f"{c}__q"] for c in cols}
+        wide = df.sparkSession.createDataFrame([row], wide.schema)
     stats = ["n", "mean", "std", "min", "max", "g1", "g2"]
     long = wide.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column_name"), *[F.col(f"{c}__{s}").cast("double").alias(s) for s in stats]) for c in cols])))
@@ -187,7 +261,7 @@ def numeric_describe(df: DataFrame, cols: list[str] | None = None, exact: bool =
     g2 = ((n + 1) * F.col("g2") + 6) * (n - 1) / ((n - 2) * (n - 3))
     long = long.select("column_name", n.cast("bigint").alias("count"), "mean", "std", "min", "max",
                        F.when(n > 2, g1).alias("skew"), F.when(n > 3, g2).alias("kurt"))
-    q = quantiles(df, cols, (0.25, 0.5, 0.75), exact=exact)
+    q = quantiles(df, cols, probs, exact, ends)
     qw = q.groupBy("column_name").agg(*[F.max(F.when(F.col("prob") == p, F.col("value"))).alias(nm)
                                    for p, nm in ((0.25, "p25"), (0.5, "p50"), (0.75, "p75"))])
     out = long.join(qw, "column_name", "left")
@@ -211,10 +285,14 @@ def schema_diff(left: DataFrame, right: DataFrame, names=("train", "test")) -> D
     return left.sparkSession.createDataFrame(rows, "column_name string, side string")
 
 
-def row_text(cols: list[str]) -> Column:
-    """Lossless text of a row: JSON with times to the microsecond (nulls are absent fields)."""
+def row_text(df: DataFrame, cols: list[str]) -> Column:
+    """Lossless text of a row: JSON with times to the microsecond (nulls are absent fields).  Of ``df``'s float
+    columns, -0.0 reads as 0.0 and NaN as null: such rows are duplicates."""
     micros = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
-    return F.to_json(F.struct(*[F.col(c) for c in cols]), {"timestampNTZFormat": micros, "timestampFormat": micros + "XXX"})
+
+    def cell(c):
+        return (present(df, c) + F.lit(0.0)).alias(c) if is_float(df, c) else F.col(c)
+    return F.to_json(F.struct(*map(cell, cols)), {"timestampNTZFormat": micros, "timestampFormat": micros + "XXX"})
 
 
 def duplicate_rows(df: DataFrame, cols: list[str] | None = None, by: list[str] | None = None) -> DataFrame:
@@ -225,15 +303,28 @@ def duplicate_rows(df: DataFrame, cols: list[str] | None = None, by: list[str] |
     """
     cols = cols or df.columns
     by = by or []
-    canon = row_text(cols)
+    canon = row_text(df, cols)
     g = (df.select(*by, F.sha2(canon, 256).alias("_h"), F.length(canon).alias("_l"))
            .groupBy(*by, "_h", "_l").agg(F.count(F.lit(1)).alias("_c")))
     return g.groupBy(*by).agg(F.sum("_c").alias("n_rows"), F.sum(F.col("_c") - 1).alias("n_duplicates"))
 
 
+def null_counts(df: DataFrame, cols: list[str] | None = None) -> DataFrame:
+    """(column_name, dtype, n_rows, null_count, null_pct) from one aggregate; no cell value is shuffled."""
+    cols = cols or df.columns
+    one = df.agg(F.count(F.lit(1)).alias("_n"), *[F.count_if(_is_missing(df, c)).alias(f"_m{i}") for i, c in enumerate(cols)])
+    st = one.select("_n", F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.lit(df.schema[c].dataType.simpleString()).alias("dtype"),
+                                                      F.col(f"_m{i}").alias("null_count")) for i, c in enumerate(cols)])))
+    return st.select("column_name", "dtype", F.col("_n").alias("n_rows"), "null_count", _percent("null_count", "_n").alias("null_pct"))
+
+
+def _percent(part: str, whole: str) -> Column:
+    return F.round(F.lit(100.0) * F.col(part) / F.greatest(F.col(whole), F.lit(1)), 2)
+
+
 def missing_summary(df: DataFrame) -> DataFrame:
     """Columns with missing values, with dtype and percentage."""
-    return column_stats(df).where(F.col("null_pct") > 0).select("column_name", "dtype", "null_count", "null_pct")
+    return null_counts(df).where(F.col("null_pct") > 0).select("column_name", "dtype", "null_count", "null_pct")
 
 
 def dtype_histogram(df: DataFrame) -> DataFrame:

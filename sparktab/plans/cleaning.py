@@ -1,7 +1,8 @@
 """Cleaning plans (C1, C2, C11): a JSON-like dict turned into fit statistics and one ``select``.
 
 Pair order (train/test): type conversions -> drop -> clip -> impute, fill values fitted on the
-clipped train and applied to both splits; the target is clipped in train only.
+clipped train and applied to both splits; the target is clipped in train only.  NaN becomes null on
+entry, so no step takes it for a value.
 Single order (one frame): drop -> impute -> rename -> parse dates -> dedupe -> cast -> clip.
 """
 
@@ -13,7 +14,7 @@ from typing import ClassVar
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparktab.functions.scalar import clip
+from sparktab.functions.scalar import clip, without_nan
 from sparktab.operators import clean as C
 from sparktab.operators.profile import NUMERIC
 
@@ -76,7 +77,7 @@ class CleaningPlan:
     def fit(self, train: DataFrame) -> "CleaningModel":
         ints = [c for c, k in self.type_conversions.items() if k == "int" and c in train.columns]
         int_ok = C.integral_columns(train, ints)
-        t = self._clip(C.drop_columns(self._convert(train, int_ok), self.drop_columns), True)
+        t = self._clip(C.drop_columns(without_nan(self._convert(without_nan(train), int_ok)), self.drop_columns), True)
         fills = C.fill_values(t, self.imputation, empty_mode_default=False)
         ffill = [c for c, s in self.imputation.items() if s == "ffill" and c in t.columns]
         return CleaningModel(self, int_ok, fills, ffill)
@@ -91,7 +92,7 @@ class CleaningModel:
 
     def transform(self, df: DataFrame, is_train: bool, order_col: str = "_id") -> DataFrame:
         p = self.plan
-        out = p._clip(C.drop_columns(p._convert(df, self.int_ok), p.drop_columns), is_train)
+        out = p._clip(C.drop_columns(without_nan(p._convert(without_nan(df), self.int_ok)), p.drop_columns), is_train)
         fills = {c: C.fill_expr(out, c, v) for c, v in self.fills.items() if c in out.columns}
         if fills:
             out = out.withColumns(fills)
@@ -102,7 +103,7 @@ class CleaningModel:
 
 def apply_single(df: DataFrame, plan: CleaningPlan) -> DataFrame:
     """One-frame order drop -> impute -> rename -> parse dates -> dedupe -> cast -> clip."""
-    out = C.drop_columns(df, plan.drop_columns)
+    out = C.drop_columns(without_nan(df), plan.drop_columns)
     fills = C.fill_values(out, plan.imputation, skip_unknown_on_typed=False)
     if fills:
         out = out.withColumns({c: C.fill_expr(out, c, v) for c, v in fills.items() if c in out.columns})

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparktab.functions.scalar import fold_of, fold_of_sql
+from sparktab.functions.scalar import fold_of, fold_of_sql, without_nan
 from sparktab.sources.tables import Tables
 
 TEST_SEED = 42 + 7919
@@ -23,8 +23,18 @@ def _null_every(key, k: int, value):
     return F.when(F.col(key) % k == 0, F.lit(None)).otherwise(value)
 
 
+def _missing_every(key, k: int, value):
+    """Every ``k``-th value missing: half of them as null, half as NaN, as float columns come in practice."""
+    return F.when(F.col(key) % (2 * k) == 0, F.lit(float("nan"))).otherwise(_null_every(key, k, value))
+
+
 def listing(spark: SparkSession, data_dir: str) -> DataFrame:
-    """All listing rows (train and test together), one per order."""
+    """All listing rows (train and test together), one per order; NaN is null from here on."""
+    return without_nan(raw_listing(spark, data_dir))
+
+
+def raw_listing(spark: SparkSession, data_dir: str) -> DataFrame:
+    """The listing rows before ingest: missing numbers are nulls and NaN."""
     t = Tables(spark, data_dir)
     n_part = t.part.select(F.count(F.lit(1))).scalar()
     o = t.orders.select("o_orderkey", "o_custkey", "o_orderdate")
@@ -41,11 +51,11 @@ def listing(spark: SparkSession, data_dir: str) -> DataFrame:
         F.concat(F.lit("H"), (F.col("c_custkey") % 97).cast("string")).alias("host_name"),
         F.col("n_name").alias("location_cluster"),
         F.concat(F.col("n_name"), F.lit(" "), F.col("c_mktsegment")).alias("location"),
-        _null_every(k, 13, F.lit(55.5) + ((F.col("c_custkey") * 7919) % 5000) / F.lit(10000.0)).alias("lat"),
-        _null_every(k, 13, F.lit(37.3) + ((F.col("c_custkey") * 104729) % 6000) / F.lit(10000.0)).alias("lon"),
+        _missing_every(k, 13, F.lit(55.5) + ((F.col("c_custkey") * 7919) % 5000) / F.lit(10000.0)).alias("lat"),
+        _missing_every(k, 13, F.lit(37.3) + ((F.col("c_custkey") * 104729) % 6000) / F.lit(10000.0)).alias("lon"),
         _null_every(k, 17, F.col("p_type")).alias("type_house"),
         F.col("p_retailprice").alias("sum"),
-        _null_every(k, 11, (F.lit(1) + F.col(k) % 30).cast("double")).alias("min_days"),
+        _missing_every(k, 11, (F.lit(1) + F.col(k) % 30).cast("double")).alias("min_days"),
         ((F.col(k) * 31) % 200).cast("double").alias("amt_reviews"),
         _null_every(k, 7, F.col("o_orderdate")).alias("last_dt"),
         (F.lit(1.0) + (F.col(k) % 41) / F.lit(10.0)).alias("avg_reviews"),
