@@ -65,6 +65,12 @@ def jarque_bera(spark, d):
     return V.residual_stats(predictions(spark, d)).select("algo", "jb", "jb_p", "normal")
 
 
+@query("shapiro_wilk")
+def shapiro_wilk(spark, d):
+    """Shapiro-Wilk test of each model's residuals, on a fixed sample of at most 5000."""
+    return V.shapiro(predictions(spark, d))
+
+
 @query("best_model", with_predictions(f"""
 select arg_min(algo, mse) as best_model, round(min(mse), 6) as best_mse
 from (select algo, avg({_E}*{_E}) as mse from preds group by algo)"""))

@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from sparktab.catalog.registry import query
 from sparktab.session import materialised
 from sparktab.operators import profile as P
+from sparktab.operators import profile_store as S
+from sparktab.sources.files import scratch_path
 from sparktab.sources.listing import LISTING_COLUMNS, listing_pair, with_listing
 from sparktab.sources.tables import table
 
@@ -104,3 +106,24 @@ def missing_summary(spark, d):
     """Train columns with missing values."""
     train, _ = listing_pair(spark, d)
     return P.missing_summary(train).select("column_name", "null_count", "null_pct")
+
+
+_EVENT_COLUMNS = ["event_id", "user_id", "event_type", "value"]
+
+
+def _merged_sql(c):
+    x = f"cast({c} as double)" if c != "event_type" else "null::double"
+    r = lambda e, a: f"round({e}, 6) as {a}"
+    return (f"select '{c}' as column_name, count(*) as n_rows, count(*) - count({c}) as null_count, " + ", ".join([
+        r(f"avg({x})", "mean"), r(f"stddev_samp({x})", "std"), r(f"min({x})", "min"), r(f"max({x})", "max"),
+        r(f"skewness({x})", "skew"), r(f"kurtosis({x})", "kurt")]) + " from events")
+
+
+@query("profile_merged", " union all ".join(map(_merged_sql, _EVENT_COLUMNS)))
+def profile_merged(spark, d):
+    """Events profiled day by day into a store; the profile of all days is merged from it."""
+    events = table(spark, d, "events").select(F.to_date("ts").alias("day"), *_EVENT_COLUMNS)
+    path = scratch_path(spark, "profile-store")
+    S.add_slices(events, ["day"], path, _EVENT_COLUMNS)
+    m = S.merge_profiles(spark.read.parquet(path))
+    return m.select("column_name", "n_rows", "null_count", *[F.round(c, 6).alias(c) for c in ("mean", "std", "min", "max", "skew", "kurt")])

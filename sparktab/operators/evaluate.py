@@ -9,9 +9,13 @@ from __future__ import annotations
 
 from itertools import combinations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from sparktab.functions.normality import shapiro_wilk
 from sparktab.functions.stats import t_pvalue_udf
 from sparktab.operators.joins import attach
 from sparktab.operators.metrics import regression_metrics
@@ -47,6 +51,29 @@ def residual_stats(preds: DataFrame, by=("algo",), digits: int = 6) -> DataFrame
                       rd("kurt"), rd("jb"), rd("jb_p"), (F.col("jb_p") > 0.05).alias("normal"))
 
 
+SHAPIRO_ROWS = 5000     # the test's approximation holds up to so many values
+
+
+def shapiro(preds: DataFrame, by=("algo",), id_col: str = "_id", rows: int = SHAPIRO_ROWS, digits: int = 6) -> DataFrame:
+    """(by..., n, w, p, normal), the Shapiro-Wilk test of each group's residuals.
+
+    All residuals of a group of at most ``rows``, else those of the ``rows`` smallest id hashes: a fixed sample,
+    whatever the partitioning.  Each task keeps ``rows`` rows per group before the shuffle.  Missing residuals do
+    not count; w and p are null for fewer than 3 residuals or equal ones."""
+    r = preds.select(*by, F.xxhash64(id_col).alias("h"), F.col(id_col).alias("i"), (F.col("target") - F.col("prediction")).alias("x"))
+    r = r.where(F.col("x").isNotNull() & ~F.isnan("x"))
+    place = F.row_number().over(Window.partitionBy(*by).orderBy("h", "i", "x"))
+    sample = r.withColumn("place", place).where(F.col("place") <= rows).select(*by, "x")
+    types = [r.schema[b] for b in by]
+
+    def test(key, pdf):
+        w, p = shapiro_wilk(pdf["x"].to_numpy())
+        return pd.DataFrame([(*key, len(pdf), None if np.isnan(w) else w, None if np.isnan(p) else p)])
+    schema = T.StructType([*types, T.StructField("n", T.LongType()), T.StructField("w", T.DoubleType()), T.StructField("p", T.DoubleType())])
+    out = sample.groupBy(*by).applyInPandas(test, schema)
+    return out.select(*by, "n", F.round("w", digits).alias("w"), F.round("p", digits).alias("p"), (F.col("p") > 0.05).alias("normal"))
+
+
 def best_model(metrics: DataFrame, model_col: str = "algo", metric: str = "mse") -> DataFrame:
     """Argmin of the metric (ties by name)."""
     return metrics.agg(F.min_by(F.col(model_col), F.struct(F.col(metric), F.col(model_col))).alias("best_model"),
