@@ -4,8 +4,8 @@ Encoding: the distinct words of a slice of texts become token-position rows (wor
 next position, next id), one row per byte at first.  A recursive query joins them with the merge
 table, finds each word's leftmost pair of minimum rank and contracts it, until no pair of the word
 is in the table.  It keeps the rows of every round, so after a number of rounds that bounds them it
-stops, and starts anew with the words that are not done.  Decoding: an ordered aggregation over (document, position, id) rows joined with
-the vocabulary.  Both run in one thread on an in-memory database per worker; slices are bounded,
+stops, and starts anew with the words that are not done.  Decoding: an ordered aggregation over (chunk, position, id) rows joined with
+the vocabulary; a text decodes to its chunks' bytes, one behind the other.  Both run in one thread on an in-memory database per worker; slices are bounded,
 nothing is spilled to disk, and Spark does the partitioning.
 """
 
@@ -14,15 +14,19 @@ from __future__ import annotations
 import base64
 import hashlib
 import re
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparktab.llm.common import map_arrow, slices
+from sparktab.llm.wordbpe import EMPTY, Lists
 
-CACHE_WORDS = 300_000   # words, and spaced chunks, kept per worker; beyond that the later half goes
+CACHE_WORDS = 1_000_000 # words kept per worker between slices; beyond that the later half goes
+CACHE_CHUNKS = 600_000  # chunks, likewise
 BATCH_BYTES = 400_000   # bytes of distinct words in one recursive query (a longer word stands alone)
 ROUND_ROWS = 4_000_000  # rows that the rounds of one recursive query may add up to
 SLICE_CHARS = 1 << 21
@@ -51,10 +55,7 @@ SELECT * FROM t WHERE (w, step) IN (SELECT w, max(step) FROM t GROUP BY w)
 DONE_QUERY = "SELECT w, list(id ORDER BY pos) AS ids FROM state WHERE step < {rounds} GROUP BY w"
 OPEN_QUERY = "CREATE OR REPLACE TEMP TABLE seed AS SELECT w, pos, id, npos, nid FROM state WHERE step = {rounds}"
 
-DECODE_QUERY = """
-SELECT d, sha256(unhex(string_agg(v.hex, '' ORDER BY p))) AS digest
-FROM tokens JOIN vocabulary v USING (id) GROUP BY d
-"""
+DECODE_QUERY = "SELECT d, unhex(string_agg(v.hex, '' ORDER BY p)) AS bytes FROM tokens JOIN vocabulary v USING (id) GROUP BY d"
 
 #: Texts of these characters are split by the standard library; ``regex`` splits the others.
 _COMMON = re.compile("[^\t\n\x0b\x0c\r\x20-\x7eÀ-ÖØ-öø-ÿ¡¿–—‘’“”…€]")
@@ -87,14 +88,8 @@ class ByteBpe:
         self._table("vocabulary", {"id": pa.array(ranks.values(), pa.int32()),
                                    "hex": pa.array([t.hex() for t in ranks], pa.string())})
         self.cache: dict[str, bytes] = {}    # word -> ids
-        self.chunks: dict[str, bytes] = {}   # what follows a space, up to the next one -> ids
-
-    @staticmethod
-    def _trim(cache: dict):
-        """Keep the first half: the words met first are the common ones."""
-        if len(cache) > CACHE_WORDS:
-            for k in list(cache)[CACHE_WORDS // 2:]:
-                del cache[k]
+        self.number: dict[str, int] = {}     # what stands between spaces, and whether one is before it -> its place
+        self.ids, self.bytes = EMPTY, EMPTY  # of each such chunk
 
     def _table(self, name: str, columns: dict):
         self.con.register("incoming", pa.table(columns))
@@ -128,42 +123,79 @@ class ByteBpe:
                 self.con.execute(OPEN_QUERY.format(rounds=rounds))
                 (rows,), = self.con.execute("SELECT count(*) FROM seed").fetchall()
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text as little-endian unsigned 32-bit bytes.
-
-        No word reaches over a space, except in runs of white space; so texts without such runs
-        are taken in chunks cut before each space, and only new chunks are split into words.
-        """
-        self._trim(self.cache)
-        self._trim(self.chunks)
-        whole, cut, missing = {}, {}, set()
-        for i, t in enumerate(texts):
-            if _COMMON.search(t) or _RUN.search(t):
-                whole[i] = self.split(t)
-            else:
-                first, *rest = t.split(" ")
-                whole[i], cut[i] = self.split(first), rest
-                missing.update(rest)
-        missing.difference_update(self.chunks)
-        new = {c: self.split(" " + c) for c in missing}
-        self.learn(sorted(set().union(*whole.values(), *new.values()).difference(self.cache)))
-        word = self.cache.__getitem__
-        for c, words in new.items():
-            self.chunks[c] = b"".join(map(word, words))
-        chunk = self.chunks.__getitem__
-        return [b"".join(map(word, whole[i])) + b"".join(map(chunk, cut.get(i, ()))) for i in range(len(texts))]
-
-    def decode_digests(self, ids: list[bytes]) -> list[str]:
-        """SHA-256 of the bytes that each list of ids decodes to."""
+    def decode(self, ids: list[bytes]) -> list[bytes]:
+        """The bytes that each list of ids decodes to."""
         flat = np.frombuffer(b"".join(ids), dtype="<u4").astype(np.int32)
-        n = np.array([len(x) // 4 for x in ids])
+        n = np.array([len(x) // 4 for x in ids], dtype=np.int64)
         self._table("tokens", {"d": pa.array(np.repeat(np.arange(len(ids)), n), pa.int32()),
                                "p": pa.array(np.arange(len(flat)), pa.int64()), "id": pa.array(flat, pa.int32())})
-        out = [hashlib.sha256(b"").hexdigest()] * len(ids)
-        for d, digest in self.con.execute(DECODE_QUERY).fetchall():
-            out[d] = digest
+        out = [b""] * len(ids)
+        for d, raw in self.con.execute(DECODE_QUERY).fetchall():
+            out[d] = raw
         return out
 
+    def _lists(self, words: list[list[str]]) -> tuple[Lists, Lists]:
+        """Of each list of words: its ids, and the bytes that they decode to."""
+        self.learn(sorted(set().union(*words).difference(self.cache)))
+        word = self.cache.__getitem__
+        ids = [b"".join(map(word, w)) for w in words]
+        return tuple(Lists(np.frombuffer(b"".join(parts), dtype=kind), np.array([len(p) // width for p in parts], dtype=np.int64))
+                     for parts, kind, width in ((ids, "<u4", 4), (self.decode(ids), np.uint8, 1)))
+
+    def _trim(self):
+        """Keep the first half of a full cache: what was met first is common."""
+        if len(self.cache) > CACHE_WORDS:
+            self.cache = dict(islice(self.cache.items(), CACHE_WORDS // 2))
+        if len(self.number) > CACHE_CHUNKS:
+            kept = CACHE_CHUNKS // 2
+            self.number = dict(zip(islice(self.number, kept), range(kept)))
+            self.ids, self.bytes = self.ids.take(np.arange(kept)), self.bytes.take(np.arange(kept))
+
+    def run(self, texts: list[str]) -> tuple[list[bytes], list[str]]:
+        """Of each text: its ids as little-endian unsigned 32-bit bytes, and the SHA-256 of what they decode to.
+
+        No word reaches over a space, except in runs of white space; so texts without such runs are
+        taken in chunks cut before each space, and only new chunks are split into words, merged and
+        decoded.  Other texts are taken whole.
+        """
+        self._trim()
+        whole = [i for i, t in enumerate(texts) if _COMMON.search(t) or _RUN.search(t)]
+        own = set(whole)
+        pieces = pc.split_pattern(pa.array(["" if i in own else t for i, t in enumerate(texts)], pa.large_string()), " ")
+        ends = pieces.offsets.to_numpy() - pieces.offsets[0].as_py()
+        coded = pc.dictionary_encode(pieces.flatten())
+        names, code = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+        spaced = np.ones(len(code), dtype=bool)
+        spaced[ends[:-1][ends[1:] > ends[:-1]]] = False      # a text's first chunk has no space before it
+        kind = 2 * code + spaced
+        used = np.unique(kind)
+        chunks = [" " + names[k >> 1] if k & 1 else names[k >> 1] for k in used.tolist()]
+        new = [c for c in chunks if c not in self.number]
+        if new:
+            ids, raw = self._lists([self.split(c) for c in new])
+            self.number.update(zip(new, range(len(self.ids.size), len(self.ids.size) + len(new))))
+            self.ids, self.bytes = self.ids.plus(ids), self.bytes.plus(raw)
+        place = np.zeros(2 * len(names), dtype=np.int64)
+        place[used] = np.fromiter(map(self.number.__getitem__, chunks), np.int64, len(chunks))
+        out = [_by_text(x.take(place[kind]), ends) for x in (self.ids, self.bytes)]
+        if whole:
+            for texts_of, lists in zip(out, self._lists([self.split(texts[i]) for i in whole])):
+                for i, x in zip(whole, _by_text(lists, np.arange(len(whole) + 1))):
+                    texts_of[i] = x
+        return out[0], [hashlib.sha256(x).hexdigest() for x in out[1]]
+
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit bytes."""
+        return self.run(texts)[0]
+
+
+def _by_text(lists: Lists, ends: np.ndarray) -> list[bytes]:
+    """The lists from each end to the next one, joined, as bytes."""
+    width = lists.ids.itemsize
+    data = lists.ids.astype(lists.ids.dtype.newbyteorder("<")).tobytes()
+    at = (width * np.concatenate([[0], np.cumsum(lists.size)])[ends]).tolist()
+    return [data[a:b] for a, b in zip(at, at[1:])]
+
 
 _LOADED: dict[tuple[str, str], ByteBpe] = {}
 
@@ -191,9 +223,9 @@ def encode_decode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str =
             ids: list[bytes] = []
             digests: list[str] = []
             for lo, hi in slices([len(t) for t in texts], SLICE_CHARS):
-                part = bpe.encode(texts[lo:hi])
+                part, decoded = bpe.run(texts[lo:hi])
                 ids += part
-                digests += bpe.decode_digests(part)
+                digests += decoded
             return pa.record_batch([b.column(0), pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64()),
                                     pa.array(digests, pa.string())], names=["doc_id", "ids", "n_tokens", "decoded_sha256"])
         return fn

@@ -128,7 +128,7 @@ class Lists:
         return Lists(self.ids, np.add.reduceat(self.size, np.cumsum(counts) - counts) if len(counts) else self.size)
 
 
-EMPTY = Lists(np.empty(0, np.uint32), np.empty(0, np.int64))
+EMPTY = Lists(np.empty(0, np.uint8), np.empty(0, np.int64))     # of any type: joined lists take the other's
 
 
 class WordIds:
@@ -141,7 +141,7 @@ class WordIds:
         self.letters = str.maketrans(dict(enumerate(byte_letters())))
         self.specials = [t.content for t in self.tok.get_added_tokens_decoder().values()]
         self.number: dict[str, int] = {}    # what stands between white space -> its place in ``chunks``
-        self.chunks = EMPTY
+        self.chunks = Lists(np.empty(0, np.uint32), np.empty(0, np.int64))
 
     def _words(self, words: list[str]) -> Lists:
         """The ids of each word."""
@@ -184,7 +184,7 @@ class WordIds:
         self.number.update(zip(plain + mixed, range(len(self.number), len(self.chunks.size))))
         if "" in new:
             self.number[""] = len(self.chunks.size)
-            self.chunks = self.chunks.plus(Lists(EMPTY.ids, np.zeros(1, np.int64)))
+            self.chunks = self.chunks.plus(Lists(np.empty(0, np.uint32), np.zeros(1, np.int64)))
 
     def encode_many(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """``(ids, ends)``: the ids of all texts one behind the other, and where each text's end.  Null texts
