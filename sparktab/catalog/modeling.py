@@ -15,6 +15,7 @@ from sparktab.operators import model as M
 from sparktab.plans.cleaning import default_cleaning_plan
 from sparktab.plans.experiment import improvement_loop, train_and_predict
 from sparktab.plans.features import FeaturePlan
+from sparktab.plans.stages import stage_loop
 from sparktab.session import materialised
 from sparktab.sources.listing import listing_pair, with_listing
 from sparktab.sources.predictions import predictions, with_predictions
@@ -203,3 +204,16 @@ def gbt_early_stopping(spark, d):
                          feats, ["location_cluster"], persist_input=False)
     trees = spark.createDataFrame([(f, int(m.getNumTrees)) for f, m in enumerate(r.models)], "fold int, n_trees int")
     return r.fold_metrics.join(trees, "fold").select("fold", "n_trees", r6("mse").alias("mse"))
+
+
+@query("stage_loop")
+def stage_loop_q(spark, d):
+    """Four candidate runs, each from the stage that it changes: all, the model, the features, a second learner."""
+    train, test = listing_pair(spark, d)
+    light = {k: dict(v) for k, v in FeaturePlan().groups.items()}
+    light.update({"geo_features": {"enabled": False}, "text_features": {"enabled": False}})
+    fewer = {**light, "interaction_features": {"enabled": False}}
+    specs = [{"algos": {"linear": {"reg_lambda": 100.0}}, "features": fewer}, {"algos": {"linear": {}}, "features": fewer},
+             {"algos": {"linear": {}}, "features": light}, {"algos": {"linear": {}, "rf": {"n_estimators": 10, "max_depth": 5}}, "features": light}]
+    out = stage_loop(spark, train, test, specs, accept_mse=100.0, min_rel=-1.0)
+    return out.withColumns({"mse": r6("mse"), "rel_improvement": r6("rel_improvement")})
