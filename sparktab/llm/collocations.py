@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 from sparktab.llm.common import bounded, written
 
 SHARD_WORDS = 1 << 21
+RANK_PARTS = 64
 BUCKET_NGRAMS = 1 << 21     # n-grams of one length that a task sums at a time, on average
 TOKENS = re.compile(rb"[^ \t.,;:!?\n-\r]+|[.,;:!?\n-\r]+")   # words, and runs of separators
 SEPARATORS = b".,;:!?\n\x0b\x0c\r"
@@ -277,8 +278,11 @@ def collocations(docs: DataFrame, max_words: int = 3, min_count: int = 10, top:
 
     order = [F.col("score").desc(), F.col("a").desc()]
     kept = kept.withColumn("first", part(F.lit(0), F.lit(1))).join(words.select(F.col("key").alias("first"), "lang"), "first").drop("first")
-    best = kept.withColumn("place", F.rank().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("place") <= top)
-    best = written(best.drop("place", "longer"), "best")
+    # first in RANK_PARTS parts of a language, so that its last ranking gets the best of these only
+    kept = kept.withColumn("part", F.pmod(F.xxhash64("key"), F.lit(RANK_PARTS)))
+    for group in (("lang", "part"), ("lang",)):
+        kept = kept.withColumn("place", F.rank().over(Window.partitionBy(*group).orderBy(*order))).filter(F.col("place") <= top)
+    best = written(kept.drop("place", "part", "longer"), "best")
     spelt = best.select("key", F.posexplode(F.transform(F.sequence(F.lit(0), size - 1), lambda i: part(i, F.lit(1)))).alias("i", "w"))
     spelt = (spelt.join(words.select(F.col("key").alias("w"), "word"), "w").groupBy("key")
              .agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("i", "word"))), lambda x: x["word"]), " ").alias("phrase")))
