@@ -19,7 +19,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-CACHE_CHUNKS = 250_000  # chunks kept between batches; beyond that the later half goes
+from sparktab.llm.common import slices
+
+CACHE_CHUNKS = 100_000  # chunks kept between slices; beyond that the later half goes
+SLICE_CHARS = 1 << 20   # characters of texts encoded at a time (a longer text stands alone)
 LONG_WORD = 64          # letters; the library merges longer words
 
 _COMMON = "\t\n\x0b\x0c\r\x20-\x7e¡¿À-ÖØ-öø-ÿ–—‘’“”…€"
@@ -216,9 +219,12 @@ class WordIds:
 
     def documents(self, texts: list[str | None], end_id: int) -> list[bytes]:
         """The ids of each text with ``end_id`` behind them, as little-endian unsigned 32-bit bytes."""
-        ids, ends = self.encode_many(texts)
-        data, end = ids.astype("<u4").tobytes(), np.array([end_id], dtype="<u4").tobytes()
-        return [data[4 * a:4 * b] + end for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+        out, end = [], np.array([end_id], dtype="<u4").tobytes()
+        for lo, hi in slices([len(t or "") for t in texts], SLICE_CHARS):
+            ids, ends = self.encode_many(texts[lo:hi])
+            data = ids.astype("<u4").tobytes()
+            out += [data[4 * a:4 * b] + end for a, b in zip([0, *ends[:-1].tolist()], ends.tolist())]
+        return out
 
 
 _LOADED: dict[str, WordIds] = {}
