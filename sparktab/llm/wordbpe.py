@@ -21,8 +21,8 @@ import pyarrow.compute as pc
 
 from sparktab.llm.common import slices
 
-CACHE_CHUNKS = 100_000  # chunks kept between slices; beyond that the later half goes
-SLICE_CHARS = 1 << 20   # characters of texts encoded at a time (a longer text stands alone)
+CACHE_CHUNKS = 250_000  # chunks kept between slices; beyond that the later half goes
+SLICE_CHARS = 1 << 21   # characters of texts encoded at a time (a longer text stands alone)
 LONG_WORD = 64          # letters; the library merges longer words
 
 _COMMON = "\t\n\x0b\x0c\r\x20-\x7e¡¿À-ÖØ-öø-ÿ–—‘’“”…€"
