@@ -59,3 +59,13 @@ def test_oracle_parity_sf0001(spark, smoke_dir, name):
     idx = [ocols.index(c) for c in key]
     b = sorted((tuple(_norm(r[i]) for i in idx) for r in cur.fetchall()), key=repr)
     assert a == b
+
+
+def test_feedback_improvement_of_a_first_mse_of_zero(spark):
+    # failed with DIVIDE_BY_ZERO: a day whose least metric is 0.0 comes first; the SQL divides as IEEE does
+    from sparktab.operators.events import feedback_improvement
+
+    def pct(first, last):
+        hist = spark.createDataFrame([(1, first), (2, last)], "iteration long, best_mse double")
+        return feedback_improvement(hist).first()["improvement_pct"]
+    assert pct(0.0, 2.0) == float("-inf") and str(pct(0.0, 0.0)) == "nan" and pct(4.0, 1.0) == 75.0
