@@ -246,3 +246,24 @@ def test_kmeans_of_fewer_points_than_centres(spark):
     df = spark.createDataFrame([(1.0, 1.0)] * 4 + [(2.0, 2.0)], "a double, b double")
     fit = geo.fit_kmeans(df, ["a", "b"], 4, n_init=3)
     assert fit.cost == 0 and fit.centers.shape == (4, 2)
+
+
+def test_tfidf_shuffles_no_term_outside_the_vocabulary_by_document(spark):
+    # every (document, term) pair of the corpus went through shuffles, joins and sorts on disk
+    rows = [(1, "aa bb aa rare1"), (2, "aa bb cc cc cc"), (2, "bb"), (None, "cc aa"), (4, "solo solo solo solo solo"), (5, None)]
+    df = spark.createDataFrame(rows, "id long, t string")
+    weights, vocab = TX.tfidf(df, "id", "t", max_features=4)
+    assert [r.term for r in vocab.orderBy("idx").collect()] == ["aa", "aa bb", "bb", "cc"]
+    got = {(r.id, r.term): r.weight for r in weights.collect()}
+    idf = {t: np.log(7 / (1 + n)) + 1 for t, n in {"aa": 3, "aa bb": 2, "bb": 2, "cc": 2}.items()}
+    tf = {1: {"aa": 2, "aa bb": 1, "bb": 1}, 2: {"aa": 1, "aa bb": 1, "bb": 2, "cc": 3}}
+    for doc, terms in tf.items():
+        w = {t: (1 + np.log(n)) * idf[t] for t, n in terms.items()}
+        norm = np.sqrt(sum(v * v for v in w.values()))
+        for t, v in w.items():
+            assert abs(got.pop((doc, t)) - v / norm) < 1e-12
+    assert not got      # neither the row without an id nor terms outside the vocabulary
+    # a higher bound than two looks at further leading terms until the vocabulary is full
+    assert [r.term for r in TX.vocabulary(df, "id", "t", 1, 3).collect()] == ["aa"]
+    plan = TX.sparse_rows(df, "id", "t", vocab)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan
