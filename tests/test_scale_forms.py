@@ -248,6 +248,15 @@ def test_kmeans_of_fewer_points_than_centres(spark):
     assert fit.cost == 0 and fit.centers.shape == (4, 2)
 
 
+def test_kmeans_scan_gives_the_first_of_equally_near_centres():
+    # one pass per centre over whole columns; same distances and ties as the rows x centres x dimensions array
+    rng = np.random.default_rng(3)
+    x, centers = rng.integers(0, 4, (500, 3)).astype(float), rng.integers(0, 4, (6, 3)).astype(float)
+    far = ((x[:, None, :] - centers[None]) ** 2).sum(2)
+    near, least = geo._nearest([x[:, i] for i in range(3)], centers)
+    assert (near == far.argmin(1)).all() and (least == far.min(1)).all()
+
+
 def test_tfidf_shuffles_no_term_outside_the_vocabulary_by_document(spark):
     # every (document, term) pair of the corpus went through shuffles, joins and sorts on disk
     rows = [(1, "aa bb aa rare1"), (2, "aa bb cc cc cc"), (2, "bb"), (None, "cc aa"), (4, "solo solo solo solo solo"), (5, None)]
