@@ -8,7 +8,7 @@ from sparktab.catalog.registry import query
 from sparktab.functions.scalar import r6
 from sparktab.operators import clean as C
 from sparktab.plans.cleaning import CleaningPlan, apply_single, default_cleaning_plan
-from sparktab.sources.listing import listing_pair, with_listing
+from sparktab.sources.listing import listing_pair, stored_listing_pair, with_listing
 from sparktab.sources.tables import table
 
 _ROWS = """, rows_ as (select *, 'train' as split from train union all by name select *, 'test' as split from test)"""
@@ -87,7 +87,7 @@ window w as (partition by split order by _id rows between unbounded preceding an
        v as (partition by split order by _id rows between current row and unbounded following)"""))
 def ffill_bfill(spark, d):
     """Forward then backward fill in id order, per split, via range blocks + carried edges."""
-    train, test = listing_pair(spark, d)
+    train, test = stored_listing_pair(spark, d)
     plan = CleaningPlan(imputation={"lat": "ffill", "min_days": "ffill", "type_house": "ffill"})
     return _both(plan.fit(train), train, test, ["lat", "min_days", "type_house"])
 

@@ -56,8 +56,8 @@ def stream_score(spark, d):
     from sparktab.operators.model import _assemble, build_estimator
     from sparktab.plans.cleaning import default_cleaning_plan
     from sparktab.sources.files import scratch_path
-    from sparktab.sources.listing import listing_pair
-    train, test = listing_pair(spark, d)
+    from sparktab.sources.listing import stored_listing_pair
+    train, test = stored_listing_pair(spark, d)
     cm = default_cleaning_plan(train).fit(train)
     tr = cm.transform(train, True)
     feats = ["lat", "lon", "sum", "min_days", "amt_reviews", "avg_reviews", "total_host", "location_cluster_target_enc"]
