@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from sparktab.functions.scalar import fold_of
 from sparktab.operators import model as M
+from sparktab.operators.folds import FoldInputs, packed
 from sparktab.plans.cleaning import CleaningPlan, default_cleaning_plan
 from sparktab.plans.experiment import combine
 from sparktab.plans.features import FeaturePlan
@@ -51,17 +52,20 @@ class StageStore:
     def folder(self, stage: str, key: str) -> str:
         return os.path.join(self.path, stage, key)
 
-    def get(self, stage: str, key: str, make: Callable[[], tuple[dict[str, DataFrame], dict]]) -> tuple[dict[str, DataFrame], dict, bool]:
-        """``(tables, settings, reused)`` of a stage; ``make`` runs only where they are not stored.  The
-        settings are written last, so a stage that broke off counts as not stored."""
+    def get(self, stage: str, key: str, make: Callable[[], tuple[dict, dict]]) -> tuple[dict[str, DataFrame], dict, bool]:
+        """``(tables, settings, reused)`` of a stage; ``make`` runs only where they are not stored.  A table
+        given as a function is made from the ones before it, as they are stored.  The settings are written last,
+        so a stage that broke off counts as not stored."""
         base = self.folder(stage, key)
         done = os.path.join(base, "settings")
         fs, p = self._fs(os.path.join(done, "_SUCCESS"))
         reused = fs.exists(p)
         if not reused:
             tables, settings = make()
+            kept: dict[str, DataFrame] = {}
             for name, df in tables.items():
-                df.write.mode("overwrite").parquet(os.path.join(base, name))
+                (df(kept) if callable(df) else df).write.mode("overwrite").parquet(os.path.join(base, name))
+                kept[name] = self.spark.read.parquet(os.path.join(base, name))
             self.spark.createDataFrame([(json.dumps([settings, list(tables)]),)], "value string").write.mode("overwrite").text(done)
         settings, names = json.loads(self.spark.read.text(done).first()["value"])
         return {n: self.spark.read.parquet(os.path.join(base, n)) for n in names}, settings, reused
@@ -92,14 +96,25 @@ def staged_run(store: StageStore, train: DataFrame, test: DataFrame, spec: dict,
     def feature():
         plan = FeaturePlan(groups=spec["features"]) if spec.get("features") else FeaturePlan()
         tr, te, num, te_cols = plan.transform_pair(tables["train"], tables["test"], id_col, target)
-        return {"train": tr.withColumn("fold", fold_of(id_col, n_folds, seed)), "test": te}, {"num": num, "te": te_cols, "smoothing": plan.smoothing}
-    feats, settings = stage("feature", digest(keys["data"], spec.get("features"), n_folds, seed), feature)
+        made: dict = {}
+
+        def inputs(kept):
+            if not made:
+                made["train"], made["test"] = M.cv_inputs(kept["train"], kept["test"], num, te_cols, n_folds, id_col=id_col, target=target,
+                                                          smoothing=plan.smoothing)
+            return made
+        # the inputs of every fold's model, which the runs of all learners on these features read
+        return ({"train": tr.withColumn("fold", fold_of(id_col, n_folds, seed)), "test": te,
+                 "train_inputs": lambda kept: packed(inputs(kept)["train"]), "test_inputs": lambda kept: packed(inputs(kept)["test"])},
+                {"num": num, "te": te_cols, "smoothing": plan.smoothing})
+    feats, settings = stage("feature", digest(keys["data"], spec.get("features"), n_folds, seed, "inputs"), feature)
+    shared = tuple(FoldInputs(feats[f"{t}_inputs"], len(settings["num"]), len(settings["te"]), n_folds) for t in ("train", "test"))
 
     results = {}
     for algo, params in spec["algos"].items():
         def model(algo=algo, params=params):
             r = M.cross_validate(feats["train"], feats["test"], algo, params, settings["num"], settings["te"], n_folds, seed=seed,
-                                 id_col=id_col, target=target, smoothing=settings["smoothing"], persist_input=False)
+                                 id_col=id_col, target=target, smoothing=settings["smoothing"], persist_input=False, shared=shared)
             return {"oof": r.oof, "test": r.test, "importance": r.importances}, {}
         results[algo], _ = stage(f"model/{algo}", digest(keys["feature"], algo, params), model)
 

@@ -66,3 +66,11 @@ def test_a_stage_that_broke_off_runs_again(spark, tmp_path):
     assert store.get("data", "x", lambda: make(True))[2] and calls == [True, False]
     store.drop("data", "x")
     assert not store.get("data", "x", lambda: make(False))[2]
+
+
+def test_runs_on_the_same_features_encode_once(spark, pair, tmp_path, monkeypatch):
+    calls, make = [], ST.M.fold_te_maps
+    monkeypatch.setattr(ST.M, "fold_te_maps", lambda *a: (calls.append(1), make(*a))[1])
+    specs = [{"algos": {"linear": {"reg_lambda": 50.0}}, "features": light()}, {"algos": {"linear": {}}, "features": light()}]
+    rows = ST.stage_loop(spark, *pair, specs, 1.0, -9.0, ST.StageStore(spark, str(tmp_path / "store"))).collect()
+    assert [r["ran"] for r in rows] == ["data,feature,model/linear", "model/linear"] and len(calls) == 1
