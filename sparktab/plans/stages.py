@@ -126,6 +126,8 @@ def staged_run(store: StageStore, train: DataFrame, test: DataFrame, spec: dict,
     oof = every("oof")
     metrics = M.regression_metrics(oof, target, "prediction", ["algo", "fold"], digits=None)
     ens = combine(oof, M.test_average(every("test"), id_col), metrics, sorted(results), id_col)
+    if ens.get("error"):
+        raise RuntimeError(f"stacking failed: {ens['error']}")
     mse = ens["oof"].select(F.avg((F.col(target) - F.col("prediction")) ** 2)).first()[0]
     return {"mse": float(mse), "keys": keys, "reused": reused, "oof": ens["oof"], "test": ens["test"]}
 
