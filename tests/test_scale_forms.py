@@ -276,3 +276,14 @@ def test_tfidf_shuffles_no_term_outside_the_vocabulary_by_document(spark):
     assert [r.term for r in TX.vocabulary(df, "id", "t", 1, 3).collect()] == ["aa"]
     plan = TX.sparse_rows(df, "id", "t", vocab)._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan
+
+
+def test_texts_that_are_fitted_and_projected_are_cut_into_terms_once(spark, monkeypatch):
+    df = spark.createDataFrame([(i, " ".join(f"w{(i * j) % 7}" for j in range(1, 6))) for i in range(40)] + [(40, None), (None, "w1 w2")], "id long, t string")
+    made, make = [], TX.sparse_rows
+    monkeypatch.setattr(TX, "sparse_rows", lambda *a: (made.append(1), make(*a))[1])
+    got = TX.text_svd_features(df, df, "id", "t", max_features=12, k=3, prefix="s")
+    assert len(made) == 1       # was 2
+    want = TX.text_svd_features(df, df.select("*"), "id", "t", max_features=12, k=3, prefix="s")
+    a, b = ({r["id"]: [r[f"s_{j}"] for j in range(3)] for r in x.collect()} for x in (got, want))
+    assert a.keys() == b.keys() and all(np.allclose(a[k], b[k], atol=1e-9) for k in a)
